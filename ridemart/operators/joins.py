@@ -1,0 +1,21 @@
+"""Join helpers: broadcast only what has a checked size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension is broadcast only when its row count is at most this. Dimensions here are a
+# calendar (bounded by the number of days) and zones (tens in practice); beyond the bound the
+# join is left to the planner (sort-merge, or AQE's runtime broadcast when stats allow).
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``dim`` if it has at most ``max_rows`` rows.
+
+    Meant for materialized dimension tables (a parquet scan), where the count is a cheap
+    metadata-sized job. The check reads at most ``max_rows + 1`` rows.
+    """
+    n = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim
