@@ -672,3 +672,121 @@ SELECT pickup_hour, day_name, num_trips, {weekday_index('day_name')} AS day_inde
         f"HAVING count({c}) > 0"
         for c in NUMERIC_FEATURES)
     return q
+
+
+def _rule_rows(rules: list[tuple[str, str, str]], source: str) -> str:
+    """(name, mode, SQL condition) -> report rows in the DQ4 shape."""
+    return "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS rule, '{m}' AS mode, count(*) AS rows_checked, "
+        f"count(*) FILTER (WHERE coalesce({c}, FALSE)) AS passed, "
+        f"count(*) FILTER (WHERE NOT coalesce({c}, FALSE)) AS failed FROM {source}"
+        for n, m, c in rules)
+
+
+WEATHER_RULES_SQL = [
+    ("humidity_in_range", "drop", "humidity BETWEEN 0 AND 100"),
+    ("cloud_cover_in_range", "drop", "cloud_cover BETWEEN 0 AND 100"),
+    ("temperature_present", "drop", "avg_temp_c IS NOT NULL"),
+    ("date_present", "drop", "date IS NOT NULL"),
+]
+TRIP_RULES_SQL = [
+    ("booking_id_present", "drop", "booking_id IS NOT NULL"),
+    ("pickup_due_present", "expect", "pickup_due_ts IS NOT NULL"),
+    ("price_non_negative", "drop", "price >= 0"),
+    ("distance_non_negative", "drop", "distance >= 0"),
+    ("completed_after_pickup", "expect", "completed_ts >= time_picked_up_ts"),
+    ("pickup_zone_present", "expect", "pickup_zone IS NOT NULL"),
+    ("duration_under_cap", "expect",
+     "epoch(date_trunc('second', completed_ts)) - epoch(date_trunc('second', time_picked_up_ts))"
+     " <= 7200"),
+]
+PROFILE_COLUMNS = ["fare_amount", "distance", "trip_duration_minutes",
+                   "expected_vs_actual_pickup_minutes_difference", "dispatch_to_arrival_minutes"]
+
+
+def build_extra() -> dict[str, str]:
+    q: dict[str, str] = {}
+    base = build()
+    q["SRC1_csv_batch_to_silver"] = base["PRJ1_bronze_text_to_silver"]
+    q["SRC2_stream_ingest_to_silver"] = base["PRJ1_bronze_text_to_silver"]
+    q["DQ3_ingest_malformed_counts"] = (
+        "SELECT (SELECT count(*) FROM lineitem) AS good_rows, "
+        "(SELECT count(*) FROM events) AS malformed_rows")
+    tables = [("silver_weather", 10), ("weather_daily", 9), ("silver_taxi", 22), ("dim_date", 18),
+              ("dim_zone", 4), ("fact_trip", 20), ("daily_kpis", 6), ("zone_daily", 4)]
+    summary = "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS \"table\", count(*) AS rows, CAST({n} AS INTEGER) AS columns FROM {t}"
+        for t, n in tables)
+    summary += ("\nUNION ALL\nSELECT 'hourly_trips', count(*), CAST(4 AS INTEGER) FROM "
+                "(SELECT 1 FROM fact_trip f JOIN dim_date d ON f.trip_booked_for_date_key = d.date_key"
+                " GROUP BY f.trip_booked_for_date_key, hour(f.pickup_due_timestamp))")
+    q["SNK8_build_summary"] = with_star(summary)
+    wd = (",\nwd AS (SELECT loc_id, date, avg_temp_c, total_precip_mm, wind_speed_kmph, humidity, "
+          "visibility_km, cloud_cover, pressure_mb, weather_desc FROM w_ranked WHERE _rn = 1)\n")
+    q["DQ4_weather_quality_report"] = with_star("") + wd + _rule_rows(WEATHER_RULES_SQL, "wd")
+    reasons = ", ".join(f"CASE WHEN NOT coalesce({c}, FALSE) THEN '{n}' END"
+                        for n, _, c in WEATHER_RULES_SQL)
+    any_fail = " OR ".join(f"NOT coalesce({c}, FALSE)" for _, _, c in WEATHER_RULES_SQL)
+    q["DQ3_weather_quarantine"] = with_star("") + wd + (
+        f"SELECT *, concat_ws(',', {reasons}) AS reasons FROM wd WHERE {any_fail}")
+    q["DQ4_trip_quality_report"] = with_star(_rule_rows(TRIP_RULES_SQL, "silver_taxi"))
+    parts = []
+    for c in PROFILE_COLUMNS:
+        def prof(year: int, c=c) -> str:
+            return (f"(SELECT count(*) AS rows, count(*) FILTER (WHERE f.{c} IS NULL) AS nulls, "
+                    f"avg(CAST(f.{c} AS DOUBLE)) AS mean, stddev_samp(CAST(f.{c} AS DOUBLE)) AS sd "
+                    f"FROM fact_trip f JOIN dim_date d ON f.trip_booked_for_date_key = d.date_key "
+                    f"WHERE d.year = {year})")
+        parts.append(
+            f"SELECT '{c}' AS column_name, b.rows AS rows_before, a.rows AS rows_after, "
+            "round(b.mean, 4) AS mean_before, round(a.mean, 4) AS mean_after, "
+            "round(CASE WHEN b.sd = 0 THEN NULL ELSE (a.mean - b.mean) / b.sd END, 4) AS mean_shift_sd, "
+            "round(CAST(a.nulls AS DOUBLE) / a.rows - CAST(b.nulls AS DOUBLE) / b.rows, 6) "
+            f"AS null_rate_change FROM {prof(1996)} b, {prof(1997)} a")
+    q["DQ5_fact_profile_drift"] = with_star("\nUNION ALL\n".join(parts))
+
+    def dup(t: str, k: str) -> str:
+        return (f"SELECT CAST(coalesce(sum(c), 0) AS BIGINT) FROM (SELECT count(*) AS c FROM {t} "
+                f"WHERE {k} IS NOT NULL GROUP BY {k} HAVING count(*) > 1)")
+
+    def orphan(fk: str, t: str, pk: str) -> str:
+        return (f"SELECT count(*) FROM fact_trip f WHERE f.{fk} IS NOT NULL AND NOT EXISTS "
+                f"(SELECT 1 FROM {t} x WHERE x.{pk} = f.{fk})")
+
+    checks = [
+        ("fact_trip.trip_key unique", dup("fact_trip", "trip_key")),
+        ("fact_trip.booking_id unique", dup("fact_trip", "booking_id")),
+        ("dim_date.date_key unique", dup("dim_date", "date_key")),
+        ("dim_zone.zone_key unique", dup("dim_zone", "zone_key")),
+        ("dim_zone.zone_code unique", dup("dim_zone", "zone_code")),
+        ("fact_trip.trip_booked_for_date_key resolves",
+         orphan("trip_booked_for_date_key", "dim_date", "date_key")),
+        ("fact_trip.pickup_zone_key resolves", orphan("pickup_zone_key", "dim_zone", "zone_key")),
+        ("fact_trip.destination_zone_key resolves",
+         orphan("destination_zone_key", "dim_zone", "zone_key")),
+    ]
+    q["DQ6_key_checks"] = with_star("\nUNION ALL\n".join(
+        f"SELECT '{n}' AS \"check\", CAST(({s}) AS BIGINT) AS violations" for n, s in checks))
+    q["STR1_live_trip_tile"] = (
+        "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, "
+        "time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type, "
+        "count(*) AS trips, round(sum(value), 2) AS revenue FROM events GROUP BY 1, 2, 3")
+    q["VEC1_label_centroid_top10"] = """
+WITH ex AS (
+  SELECT vec_id, label, unnest(generate_series(1, len(embedding))) AS pos,
+         CAST(unnest(embedding) AS DOUBLE) AS x
+  FROM embeddings
+),
+cent AS (SELECT label AS query_id, pos, avg(x) AS m FROM ex GROUP BY 1, 2),
+cnorm AS (SELECT query_id, sqrt(sum(m * m)) AS n FROM cent GROUP BY 1),
+enorm AS (SELECT vec_id, sqrt(sum(x * x)) AS n FROM ex GROUP BY 1),
+dots AS (SELECT c.query_id, ex.vec_id, sum(ex.x * c.m) AS d FROM ex JOIN cent c ON ex.pos = c.pos
+         GROUP BY 1, 2),
+sims AS (SELECT d.query_id, d.vec_id AS id,
+                CASE WHEN en.n * cn.n = 0 THEN NULL ELSE d.d / (en.n * cn.n) END AS similarity
+         FROM dots d JOIN enorm en ON d.vec_id = en.vec_id JOIN cnorm cn ON d.query_id = cn.query_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id
+                                             ORDER BY similarity DESC NULLS LAST, id) AS INTEGER)
+                     AS rank FROM sims)
+SELECT query_id, id, round(similarity, 4) AS similarity, rank FROM ranked WHERE rank <= 10"""
+    return q

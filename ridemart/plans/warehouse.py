@@ -28,7 +28,7 @@ AS_OF = {
     "events": "2024-01-28 00:00:00",
 }
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _CACHE: dict[tuple, "Warehouse"] = {}
 
 
