@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridemart.functions import expr as X
@@ -14,8 +14,7 @@ from ridemart.sources.schemas import (
 
 # Keep-latest order: the three reference keys first (latest completion, then pick-up, then
 # dispatch, NULLs last), then every other column so that the order is total and the survivor
-# of an exact tie is still determined. All keys descending with NULLs last, which is exactly
-# the ordering of max() over a struct (a NULL field sorts lowest).
+# of an exact tie is still determined. All keys descending with NULLs last.
 DEDUP_ORDER = [
     "completed_ts", "time_picked_up_ts", "time_dispatched_ts", "time_vehicle_arrived_ts",
     "pickup_due_ts", "price", "distance", "vehicle", "driver", "trip_status", "payment_type",
@@ -82,15 +81,18 @@ def future_pickup_report(typed: DataFrame, as_of=None) -> DataFrame:
 def dedup_latest(df: DataFrame) -> DataFrame:
     """WIN1: one row per booking_id, the latest by DEDUP_ORDER. All NULL ids form one group.
 
-    Expressed as ``max(struct(order...))`` per key, an aggregate with a map-side partial step:
-    a booking id that holds a third of all rows is reduced to one row per input partition
-    before the shuffle instead of landing whole in one task.
+    ``row_number() = 1`` over the key: Catalyst plans a partial WindowGroupLimit before the
+    shuffle, so every input partition forwards at most one row per booking id -- a booking id
+    (or the NULL group) holding a third of all rows reaches the shuffle as one row per map
+    task instead of landing whole in one task.
     """
-    best = F.max(F.struct(*[F.col(c) for c in DEDUP_ORDER])).alias("_best")
-    agg = df.groupBy("booking_id").agg(best)
-    return agg.select(
-        *[F.col("booking_id") if c == "booking_id" else F.col(f"_best.{c}").alias(c)
-          for c in SILVER_COLUMNS])
+    return keep_first(df, ["booking_id"], [F.col(c).desc_nulls_last() for c in DEDUP_ORDER])
+
+
+def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """One row per key: the first under ``order`` (which should be total)."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def conform(df: DataFrame) -> DataFrame:

@@ -58,20 +58,20 @@ def dim_date(silver: DataFrame, weather_daily: DataFrame) -> DataFrame:
 def dim_zone(silver: DataFrame) -> DataFrame:
     """SET1 + WIN2 + WIN4: zones seen as pickup or destination, one row per zone code.
 
-    The coordinates kept are those with the lowest latitude (NULL first), ties by longitude:
-    a ``min(struct)`` aggregate with a map-side partial step (a hot zone is pre-reduced per
-    partition). zone_key is the 0-based position in zone_code order, dense and deterministic.
+    The coordinates kept are those with the lowest latitude (NULL first), ties by longitude;
+    the partial window limit before the shuffle pre-reduces a hot zone to one row per map
+    task. zone_key is the 0-based position in zone_code order, dense and deterministic.
     """
+    from ridemart.operators.silver import keep_first
     pickup = silver.select(F.col("pickup_zone").alias("zone_code"),
                            F.col("pickup_latitude").alias("latitude"),
                            F.col("pickup_longitude").alias("longitude"))
     dest = silver.select(F.col("destination_zone").alias("zone_code"),
                          F.col("destination_latitude").alias("latitude"),
                          F.col("destination_longitude").alias("longitude"))
-    zones = (pickup.unionByName(dest).where(F.col("zone_code").isNotNull())
-             .groupBy("zone_code").agg(F.min(F.struct("latitude", "longitude")).alias("_c"))
-             .select("zone_code", F.col("_c.latitude").alias("latitude"),
-                     F.col("_c.longitude").alias("longitude")))
+    zones = keep_first(pickup.unionByName(dest).where(F.col("zone_code").isNotNull()),
+                       ["zone_code"], [F.col("latitude").asc_nulls_first(),
+                                       F.col("longitude").asc_nulls_first()])
     keyed = dense_key(zones, [F.col("zone_code").asc()], "zone_key")
     return keyed.select(F.col("zone_key").cast("int").alias("zone_key"),
                         *DIM_ZONE_COLUMNS[1:])

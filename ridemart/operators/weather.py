@@ -29,12 +29,13 @@ def dedup_readings(readings: DataFrame) -> DataFrame:
     """WIN3: one reading per (date, loc_id).
 
     The survivor is the smallest reading under a total order over all reading columns
-    (ascending, NULLs first) -- a ``min(struct)`` aggregate, so it has a map-side partial step
-    and a hot (date, loc_id) cannot overload one task.
+    (ascending, NULLs first); the partial window limit before the shuffle keeps a hot
+    (date, loc_id) from overloading one task.
     """
-    best = F.min(F.struct(*[F.col(c) for c in _READING_COLUMNS])).alias("_best")
-    return (readings.groupBy("loc_id", "date").agg(best)
-            .select("loc_id", "date", *[F.col(f"_best.{c}").alias(c) for c in _READING_COLUMNS]))
+    from ridemart.operators.silver import keep_first
+    out = keep_first(readings, ["loc_id", "date"],
+                     [F.col(c).asc_nulls_first() for c in _READING_COLUMNS])
+    return out.select("loc_id", "date", *_READING_COLUMNS)
 
 
 def validate(readings: DataFrame) -> DataFrame:

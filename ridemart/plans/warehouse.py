@@ -86,7 +86,12 @@ def warehouse(spark: SparkSession, sf_dir: str, source: str = "orders") -> Wareh
             return _CACHE[key]
         tag = sf_dir.rstrip("/").replace("/", "_").strip("_")
         wh = Warehouse(spark, scratch_path(spark, "warehouse", tag, source))
-        build_weather(wh, testdata.weather_bronze(spark, sf_dir))
+        wkey = (key[0], key[1], "_weather")
+        if wkey not in _CACHE:
+            weather_wh = Warehouse(spark, scratch_path(spark, "warehouse", tag, "weather"))
+            build_weather(weather_wh, testdata.weather_bronze(spark, sf_dir))
+            _CACHE[wkey] = weather_wh
+        wh.tables.update(_CACHE[wkey].tables)  # both feeds share one weather build
         typed = (testdata.trips_typed(spark, sf_dir) if source == "orders"
                  else testdata.event_trips_typed(spark, sf_dir))
         build_star(wh, typed, AS_OF[source])
