@@ -25,8 +25,9 @@ _POS_MASK = (1 << 33) - 1
 def dense_key(df: DataFrame, order_by: list[Column], key: str, start: int = 0,
               num_partitions: int | None = None) -> DataFrame:
     """Append ``key`` = 0-based (+start) position of each row in the ``order_by`` order."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # As many ranges as the input has partitions: that count already follows the data size
+    # (file splits of maxPartitionBytes, or the upstream shuffle), so ranges stay task-sized.
+    n = num_partitions or max(1, df.rdd.getNumPartitions())
     ranged = (
         df.repartitionByRange(n, *order_by)
         .sortWithinPartitions(*order_by)
