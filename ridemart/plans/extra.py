@@ -140,7 +140,58 @@ def _model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     return M.compare_models(train, test, runs_path=scratch_path(spark, "model_runs"))
 
 
+def extracts(spark: SparkSession, sf: str) -> str:
+    """SNK9: dashboard extracts of the orders warehouse, written once per session."""
+    def stage(path: str) -> None:
+        wh = warehouse(spark, sf)
+        files.write_dashboard_extracts({t: wh[t] for t in wh.tables}, path)
+    return _once(spark, "extracts", sf, stage)
+
+
+def train_test_csv(spark: SparkSession, sf: str) -> str:
+    """SNK6: train and test feature sets exported as header CSV folders."""
+    from ridemart.operators import features as FE
+
+    def stage(path: str) -> None:
+        wh = warehouse(spark, sf)
+        feats = FE.with_split(FE.feature_table(
+            FE.trip_features_view(wh["fact_trip"], wh["dim_date"], wh["dim_zone"])))
+        for part in ("train", "test"):
+            files.export_csv(feats.where(F.col("split") == part).drop("split"), f"{path}/{part}")
+    return _once(spark, "train_test_csv", sf, stage)
+
+
+def _read_train_test(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC7: both CSV sets read back with the feature table's schema."""
+    from ridemart.operators import features as FE
+    wh = warehouse(spark, sf)
+    schema = FE.feature_table(FE.trip_features_view(
+        wh["fact_trip"], wh["dim_date"], wh["dim_zone"])).schema
+    path = train_test_csv(spark, sf)
+    parts = [spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
+             .csv(f"{path}/{p}").withColumn("split", F.lit(p)) for p in ("train", "test")]
+    return parts[0].unionByName(parts[1])
+
+
+def _sql_question(name: str):
+    from ridemart.plans.sql_views import saved_question
+    return lambda s, sf: saved_question(warehouse(s, sf, "events" if name == "trips_per_hour_weekday"
+                                                  else "orders"), name)
+
+
 EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "SNK7_feature_view_sql": lambda s, sf: __import__(
+        "ridemart.plans.sql_views", fromlist=["feature_view"]).feature_view(warehouse(s, sf)),
+    "AGG3_monthly_revenue_sql": _sql_question("monthly_revenue"),
+    "AGG4_trips_per_hour_weekday_sql": _sql_question("trips_per_hour_weekday"),
+    "AGG5_revenue_by_zone_payment_sql": _sql_question("revenue_by_zone_payment"),
+    "AGG6_top_zones_sql": _sql_question("top_zones"),
+    "AGG7_wait_by_weekday_sql": _sql_question("wait_by_weekday"),
+    "SRC6_extract_daily_kpis": lambda s, sf: _r(
+        files.read_extract(s, extracts(s, sf), "gold_daily_kpis"), {"total_revenue": 2}),
+    "SRC6_extract_dim_zone": lambda s, sf: files.read_extract(s, extracts(s, sf), "dim_zone"),
+    "SNK6_train_test_csv_roundtrip": lambda s, sf: _read_train_test(s, sf).groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.avg("trip_duration_minutes"), 4).alias("avg_target")),
     "SRC1_csv_batch_to_silver": lambda s, sf: S.silver_taxi(
         _good(s, bronze_batch(s, sf))[0], AS_OF["orders"]),
     "DQ3_ingest_malformed_counts": lambda s, sf: s.read.parquet(bronze_batch(s, sf)).agg(

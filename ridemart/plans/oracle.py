@@ -708,6 +708,13 @@ def build_extra() -> dict[str, str]:
     q: dict[str, str] = {}
     base = build()
     q["SRC1_csv_batch_to_silver"] = base["PRJ1_bronze_text_to_silver"]
+    for k in ("AGG3_monthly_revenue", "AGG4_trips_per_hour_weekday", "AGG5_revenue_by_zone_payment",
+              "AGG6_top_zones", "AGG7_wait_by_weekday"):
+        q[k + "_sql"] = base[k]
+    q["SRC6_extract_daily_kpis"] = base["AGG2_daily_kpis"]
+    q["SRC6_extract_dim_zone"] = base["WIN4_dim_zone"]
+    q["SNK6_train_test_csv_roundtrip"] = base["ML3_train_test_split"]
+    q["SNK7_feature_view_sql"] = _features_sql() + "SELECT * FROM fview"
     q["SRC2_stream_ingest_to_silver"] = base["PRJ1_bronze_text_to_silver"]
     q["DQ3_ingest_malformed_counts"] = (
         "SELECT (SELECT count(*) FROM lineitem) AS good_rows, "

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ridemart.sources.schemas import CORRUPT_COLUMN, all_string_schema
 
@@ -86,19 +83,41 @@ def sample_by_hash(df: DataFrame, key: str, one_in: int, seed: int = 42) -> Data
     return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(one_in)) == 0)
 
 
-def write_lines(df: DataFrame, path: str) -> None:
-    """Write a single string column as plain text lines."""
-    df.write.mode("append").text(path)
-
-
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> None:
-    p = local_path(path)
-    if "://" not in p:
-        os.makedirs(p, exist_ok=True)
-
-
-STRING = T.StringType()
+# ------------------------------------------------------------------ dashboard extracts (SNK9/SRC6)
+
+EXTRACT_SCHEMAS = {
+    "dim_zone": "zone_code string, latitude double, longitude double, zone_key int",
+    "dim_date": ("date_key int, full_date date, day int, day_name string, week int, month int, "
+                 "month_name string, quarter int, year int, weekend_flag boolean, avg_temp_c double, "
+                 "total_precip_mm double, avg_wind_speed_kmph double, avg_humidity double, "
+                 "avg_visibility_km double, avg_cloud_cover double, avg_pressure_mb double, "
+                 "weather_desc string"),
+    "gold_daily_kpis": ("full_date date, day_name string, total_revenue double, "
+                        "avg_trip_duration_min double, total_trips long, avg_distance_km double"),
+    "fact_zone_daily_agg": ("trip_booked_for_date_key int, pickup_zone_key int, "
+                            "total_revenue double, total_trips long"),
+    "trips_per_hour_by_day": "trip_date date, day_name string, hour_of_day int, trip_count long",
+}
+
+
+def write_dashboard_extracts(tables: dict[str, DataFrame], path: str, sample_one_in: int = 10) -> dict[str, str]:
+    """SNK9: the dashboard's CSV extracts from the gold tables, plus a repeatable trip sample."""
+    out = {
+        "dim_zone": tables["dim_zone"].select("zone_code", "latitude", "longitude", "zone_key"),
+        "dim_date": tables["dim_date"],
+        "gold_daily_kpis": tables["daily_kpis"],
+        "fact_zone_daily_agg": tables["zone_daily"],
+        "trips_per_hour_by_day": tables["hourly_trips"],
+        "fact_trip_sample": sample_by_hash(tables["fact_trip"], "booking_id", sample_one_in),
+    }
+    paths = {}
+    for name, df in out.items():
+        paths[name] = f"{path}/{name}"
+        export_csv(df, paths[name])
+    return paths
+
+
+def read_extract(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """SRC6: an extract read with its explicit schema (dates parsed as dates, no inference)."""
+    return (spark.read.schema(EXTRACT_SCHEMAS[name]).option("header", True)
+            .option("mode", "FAILFAST").csv(f"{path}/{name}"))
