@@ -82,8 +82,12 @@ def fact_trip(silver: DataFrame, dim_date_df: DataFrame, dim_zone_df: DataFrame,
     """JN2-4 + PRJ11 + WIN5: one row per deduplicated booking with surrogate foreign keys.
 
     Dimensions are broadcast after a size check (they are materialized tables), so the fact
-    is never shuffled for the lookups. trip_key is the 0-based position in booking_id order
-    (NULLs first): dense, unique, and the same on every rerun over the same silver table.
+    is never shuffled for the lookups. trip_key is the 0-based position in (booked-for date,
+    booking_id) order, NULLs first: dense, unique, the same on every rerun over the same silver
+    table, and chronological. Numbering range-partitions on that order, so each written file
+    covers a narrow date range and a filter on trip_booked_for_date_key skips files and row
+    groups by their min/max statistics (no partition folders, no extra shuffle; a hot day is
+    still split across ranges because booking_id is unique within it).
     """
     e = enrich(silver)
     dates = bounded_broadcast(dim_date_df.select(
@@ -114,5 +118,6 @@ def fact_trip(silver: DataFrame, dim_date_df: DataFrame, dim_zone_df: DataFrame,
     )
     if not with_trip_key:
         return projected
-    keyed = dense_key(projected, [F.col("booking_id").asc_nulls_first()], "trip_key")
+    keyed = dense_key(projected, [F.col("trip_booked_for_date_key").asc_nulls_first(),
+                                  F.col("booking_id").asc_nulls_first()], "trip_key")
     return keyed.select(*FACT_TRIP_COLUMNS)

@@ -244,7 +244,8 @@ dim_zone AS (
   FROM zones_ranked WHERE _rn = 1
 ),
 fact_trip AS (
-  SELECT CAST(row_number() OVER (ORDER BY s.booking_id ASC NULLS FIRST) - 1 AS BIGINT) AS trip_key,
+  SELECT CAST(row_number() OVER (ORDER BY d.date_key ASC NULLS FIRST, s.booking_id ASC NULLS FIRST)
+              - 1 AS BIGINT) AS trip_key,
          s.booking_id,
          d.date_key AS trip_booked_for_date_key,
          pz.zone_key AS pickup_zone_key,
