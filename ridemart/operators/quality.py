@@ -96,6 +96,30 @@ def silver_trip_rules() -> list[Rule]:
     ]
 
 
+def bronze_parse_rules() -> list[Rule]:
+    """Row-level reject reasons for the silver parse: text that is present but does not parse
+    (bad timestamp, bad number) is counted here instead of silently becoming NULL."""
+    from ridemart.functions import expr as X
+    from ridemart.sources.schemas import SILVER_SPEC
+
+    rules = []
+    for name, raw, kind in SILVER_SPEC:
+        c = F.col(f"`{raw}`")
+        blank = c.isNull() | (F.trim(c) == "")
+        if kind == "ts":
+            parsed = X.parse_ts(c)
+        elif kind == "number":
+            parsed = X.parse_number(c)
+        elif kind == "int":
+            parsed = c.try_cast("int")
+        elif kind == "double":
+            parsed = c.try_cast("double")
+        else:
+            continue
+        rules.append(Rule(f"{name}_parses", blank | parsed.isNotNull(), EXPECT))
+    return rules
+
+
 # --------------------------------------------------------------------------- profiles, drift
 
 def profile(df: DataFrame, columns: list[str], approx_distinct: bool = False) -> DataFrame:

