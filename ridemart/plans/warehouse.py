@@ -53,6 +53,11 @@ class Warehouse:
     def __getitem__(self, name: str) -> DataFrame:
         return self.read(name)
 
+    def peek(self, name: str, n: int = 5, columns: list[str] | None = None) -> DataFrame:
+        """ORD4/SNK8 inspection: the first ``n`` rows (optionally a column subset) of a table."""
+        df = self.read(name)
+        return (df.select(*columns) if columns else df).limit(n)
+
     def summary(self) -> DataFrame:
         """SNK8: one row per built table with its row and column counts."""
         rows = []

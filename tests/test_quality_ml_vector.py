@@ -72,7 +72,10 @@ def test_models_and_metrics(spark):
              M.ModelSpec("rf", "forest", {"numTrees": 5, "maxDepth": 4, "seed": 42}),
              M.ModelSpec("rf_log", "forest", {"numTrees": 5, "maxDepth": 4, "seed": 42},
                          log_target=True, cap=120.0)]
-    out = {r.model: r for r in M.compare_models(train, test, specs).collect()}
+    import tempfile
+    runs = tempfile.mkdtemp(prefix="ridemart-runs-", dir="/tmp") + "/model_runs"
+    out = {r.model: r for r in M.compare_models(train, test, specs, runs_path=runs).collect()}
+    assert spark.read.parquet(runs).count() == 3  # ML12 run log
     assert set(out) == {"lr", "rf", "rf_log"}
     for r in out.values():
         assert r.n_test > 0 and r.mae >= 0 and r.rmse >= r.mae - 1e-9

@@ -114,6 +114,8 @@ def test_weather_two_locations_and_validation(spark):
     assert daily["weather_desc"] == "Sunny"  # smallest loc_id
 
 
-def test_warehouse_summary(spark, wh):
+def test_warehouse_summary_and_peek(spark, wh):
     s = {r["table"]: r["rows"] for r in wh.summary().collect()}
     assert s["fact_trip"] == s["silver_taxi"] > 0
+    p = wh.peek("fact_trip", 5, ["trip_key", "booking_id"])
+    assert p.count() == 5 and p.columns == ["trip_key", "booking_id"]
