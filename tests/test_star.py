@@ -119,3 +119,16 @@ def test_warehouse_summary_and_peek(spark, wh):
     assert s["fact_trip"] == s["silver_taxi"] > 0
     p = wh.peek("fact_trip", 5, ["trip_key", "booking_id"])
     assert p.count() == 5 and p.columns == ["trip_key", "booking_id"]
+
+
+def test_empty_input_builds_empty_tables(spark):
+    """FIXTURES 1.1 'empty input': every table of the build is empty and nothing fails."""
+    import tempfile
+    from ridemart.plans.warehouse import Warehouse, build_star, build_weather
+    from ridemart.sources.schemas import SILVER_SCHEMA, WEATHER_RAW_SCHEMA
+    wh = Warehouse(spark, tempfile.mkdtemp(prefix="ridemart-empty-", dir="/tmp"))
+    build_weather(wh, spark.createDataFrame([], WEATHER_RAW_SCHEMA))
+    build_star(wh, spark.createDataFrame([], SILVER_SCHEMA), "2025-09-01 00:00:00")
+    counts = {r["table"]: r["rows"] for r in wh.summary().collect()}
+    assert set(counts) >= {"silver_taxi", "dim_date", "dim_zone", "fact_trip", "daily_kpis"}
+    assert all(v == 0 for v in counts.values())
