@@ -341,14 +341,27 @@ def trip_details(trips: DataFrame, dim_zone: DataFrame) -> DataFrame:
                       for c in DETAIL_COLUMNS] + ["trip_key"])
 
 
-def page(details: DataFrame, page_no: int = 1, page_size: int = 50) -> DataFrame:
+# Pages whose last row lies within this many rows of the top are cut with a top-k
+# (TakeOrderedAndProject keeps offset+size rows per task); deeper pages are cut from a
+# distributed numbering of the sort order, so no task ever holds the rows before the page.
+MAX_TOP_K_ROWS = 100_000
+
+
+def page(details: DataFrame, page_no: int = 1, page_size: int = 50,
+         max_top_k_rows: int = MAX_TOP_K_ROWS) -> DataFrame:
     """ORD5: one page of the detail table, newest first, ties by trip_key; the page number is
-    clamped to [1, total_pages]. Only offset+limit rows are kept per task (top-k)."""
+    clamped to [1, total_pages]."""
     total = details.count()
     total_pages = max(1, (total + page_size - 1) // page_size)
     p = min(max(1, page_no), total_pages)
-    ordered = details.orderBy(F.col("full_date").desc_nulls_last(), F.col("trip_key"))
-    out = ordered.offset((p - 1) * page_size).limit(page_size)
+    start = (p - 1) * page_size
+    order = [F.col("full_date").desc_nulls_last(), F.col("trip_key").asc()]
+    if start + page_size <= max_top_k_rows:
+        out = details.orderBy(*order).offset(start).limit(page_size)
+    else:
+        from ridemart.operators.keys import dense_key
+        ranked = dense_key(details, order, "_pos")
+        out = ranked.where((F.col("_pos") >= start) & (F.col("_pos") < start + page_size))
     return out.select(*DETAIL_COLUMNS, F.lit(p).alias("page"),
                       F.lit(total_pages).alias("total_pages"))
 

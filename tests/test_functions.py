@@ -51,3 +51,16 @@ def test_empty_filter_selection_is_no_filter(spark):
     assert A.TripFilter().trips(fact, dim_date, dim_zone).count() == 1
     assert A.TripFilter(zones=("Z2",)).trips(fact, dim_date, dim_zone).count() == 0
     assert A.TripFilter(start="2025-01-07").trips(fact, dim_date, dim_zone).count() == 0
+
+
+def test_deep_page_path_equals_top_k_path(spark):
+    rows = [(f"B{i}", dt.date(2025, 1, 1 + i % 28), "Monday", "Z1", "C", "cash", float(i), 1.0,
+             2.0, "app", 1, i) for i in range(500)]
+    schema = ("booking_id string, full_date date, day_name string, pickup_zone string, "
+              "status string, payment_type string, fare_amount double, distance double, "
+              "trip_duration_minutes double, booking_source string, priority_level int, trip_key long")
+    details = spark.createDataFrame(rows, schema).repartition(4)
+    for page_no in (1, 4, 10):
+        small = A.page(details, page_no, 50).collect()
+        deep = A.page(details, page_no, 50, max_top_k_rows=0).collect()
+        assert sorted(small) == sorted(deep) and len(small) == 50
