@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,18 +45,31 @@ def normalise_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.replace(" ", "_") for c in df.columns])
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
+def _is_path(target: str) -> bool:
+    return "/" in target or ":" in target
 
 
-def write_if_absent(df: DataFrame, path: str) -> bool:
-    """SNK1: create the table only if it does not exist yet (a rerun is a no-op)."""
-    if table_exists(df.sparkSession, path):
+def table_exists(spark: SparkSession, target: str) -> bool:
+    """A catalog table name, or a folder holding a Parquet table."""
+    if not _is_path(target):
+        return spark.catalog.tableExists(target)
+    try:
+        spark.read.parquet(target).schema  # lists the folder; fails when it does not exist
+        return True
+    except AnalysisException:
         return False
-    df.write.mode("errorifexists").parquet(path)
+
+
+def write_if_absent(df: DataFrame, target: str) -> bool:
+    """SNK1: create the table only if it does not exist yet (a rerun is a no-op). ``target`` is
+    a catalog table name or a folder."""
+    if table_exists(df.sparkSession, target):
+        return False
+    w = df.write.mode("errorifexists")
+    if _is_path(target):
+        w.parquet(target)
+    else:
+        w.saveAsTable(target)
     return True
 
 
