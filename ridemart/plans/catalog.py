@@ -81,8 +81,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "WIN1_silver_taxi": lambda s, sf: _wh(s, sf)["silver_taxi"],
     "FLT2_future_pickup_report": lambda s, sf: S.future_pickup_report(
         testdata.trips_typed(s, sf), AS_OF["orders"]),
-    "PRJ1_bronze_text_to_silver": lambda s, sf: S.silver_taxi(
-        testdata.bookings_bronze_text(s, sf), AS_OF["orders"]),
     "FLT3_silver_weather": lambda s, sf: _wh(s, sf)["silver_weather"],
     "AGG1_weather_daily": lambda s, sf: _r4(_wh(s, sf)["weather_daily"], *WEATHER_MEASURES),
     "JN1_dim_date": lambda s, sf: _r4(_wh(s, sf)["dim_date"], *WEATHER_MEASURES),

@@ -48,12 +48,19 @@ def landing_bookings(spark: SparkSession, sf: str) -> str:
     """A landing folder of booking CSV files (22 columns) plus CSV files of another shape
     (3 columns), whose lines are malformed for the booking header."""
     def stage(path: str) -> None:
-        files.export_csv(testdata.bookings_bronze_text(spark, sf), path)
+        files.export_csv(spark.read.parquet(bronze_text(spark, sf)), path)
         (testdata.table(spark, sf, "events").select("event_id", "event_type", "value")
          .write.mode("append").option("header", True).csv(path))
     return _once(spark, "landing_bookings", sf, stage)
 
 
+def bronze_text(spark: SparkSession, sf: str) -> str:
+    """The raw booking text as a bronze Parquet table (all strings), staged once per session."""
+    def stage(path: str) -> None:
+        testdata.bookings_bronze_text(spark, sf).write.mode("overwrite").parquet(path)
+    return _once(spark, "bronze_text", sf, stage)
+
+
 def bronze_batch(spark: SparkSession, sf: str) -> str:
     """SRC1 + SRC4 + SNK1: CSV landing -> bronze Parquet (created once, reruns are no-ops)."""
     def stage(path: str) -> None:
@@ -180,9 +187,11 @@ def _sql_question(name: str):
 
 
 EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "PRJ1_bronze_text_to_silver": lambda s, sf: S.silver_taxi(
+        s.read.parquet(bronze_text(s, sf)), AS_OF["orders"]),
     "SNK7_feature_view_sql": lambda s, sf: sql_views.feature_view(warehouse(s, sf)),
     "DQ4_bronze_parse_report": lambda s, sf: Q.report(
-        testdata.bookings_bronze_text(s, sf), Q.bronze_parse_rules()),
+        s.read.parquet(bronze_text(s, sf)), Q.bronze_parse_rules()),
     "AGG3_monthly_revenue_sql": _sql_question("monthly_revenue"),
     "AGG4_trips_per_hour_weekday_sql": _sql_question("trips_per_hour_weekday"),
     "AGG5_revenue_by_zone_payment_sql": _sql_question("revenue_by_zone_payment"),
