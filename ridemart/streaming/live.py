@@ -4,6 +4,9 @@ Watermark + tumbling window + groupBy; state older than the watermark is dropped
 state size is bounded by the watermark delay, not by the stream's length. Each micro-batch
 writes the windows it updated under its batch id (a replayed batch overwrites its own
 folder: idempotent), and the tile is the latest version of every window.
+
+Late data: a row is dropped when its window ended before the watermark of the previous
+micro-batch (Spark applies the late-event watermark one batch behind the eviction watermark).
 """
 
 from __future__ import annotations

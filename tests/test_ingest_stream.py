@@ -93,3 +93,26 @@ def test_live_tile_equals_batch_windows(spark):
     got = sorted((r.window_start, r.event_type, r.trips) for r in tile.collect())
     want = sorted((r.window_start, r.event_type, r.trips) for r in batch.collect())
     assert got == want
+
+
+def test_live_tile_drops_events_behind_the_watermark(spark):
+    import datetime as dt
+    d = _tmp()
+    schema = "event_id long, ts timestamp, event_type string, value double"
+    t0 = dt.datetime(2024, 1, 1, 0, 10)
+    first = [(i, t0 + dt.timedelta(hours=i), "click", 1.0) for i in range(6)]  # up to 05:10
+    fresh1 = [(101, t0 + dt.timedelta(hours=6), "click", 2.0)]
+    late = [(100, t0, "click", 5.0)]                                            # 7 h behind
+    fresh2 = [(102, t0 + dt.timedelta(hours=7), "click", 3.0)]
+    # Spark filters late rows with the watermark of the previous micro-batch, so the late row
+    # comes two batches after the ones that moved the watermark past its window.
+    for rows in (first, fresh1, late + fresh2):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{d}/src")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{d}/src")
+    live.run_tile(live.windowed_counts(stream, watermark="2 hours"), f"{d}/out", f"{d}/ckpt")
+    tile = {r.window_start: (r.trips, r.revenue)
+            for r in live.latest_tile(spark, f"{d}/out", ["window_start", "event_type"]).collect()}
+    assert tile[dt.datetime(2024, 1, 1, 0, 0)] == (1, 1.0)   # the late event was not counted
+    assert tile[dt.datetime(2024, 1, 1, 6, 0)] == (1, 2.0)
+    assert tile[dt.datetime(2024, 1, 1, 7, 0)] == (1, 3.0)
+    assert len(tile) == 8
