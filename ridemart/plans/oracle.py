@@ -715,6 +715,9 @@ def build_extra() -> dict[str, str]:
     q["SRC6_extract_daily_kpis"] = base["AGG2_daily_kpis"]
     q["SRC6_extract_dim_zone"] = base["WIN4_dim_zone"]
     q["SNK6_train_test_csv_roundtrip"] = base["ML3_train_test_split"]
+    q["SNK9_trip_sample"] = with_star(
+        "SELECT * FROM fact_trip WHERE CAST(('0x' || substr(md5(booking_id || ':42'), 1, 8)) "
+        "AS BIGINT) % 10 = 0")
     q["SNK7_feature_view_sql"] = _features_sql() + "SELECT * FROM fview"
     # Every field of the generated booking text parses, so each rule passes on every row; the
     # count of rows is the count of lineitem rows.

@@ -92,9 +92,12 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def sample_by_hash(df: DataFrame, key: str, one_in: int, seed: int = 42) -> DataFrame:
-    """SNK9 trip sample: keep rows whose key hashes into bucket 0 of ``one_in``. Repeatable
-    and partition-independent, unlike sample()."""
-    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(one_in)) == 0)
+    """SNK9 trip sample: keep rows whose key hashes into bucket 0 of ``one_in`` -- the first 32
+    bits of md5(key:seed). Repeatable, partition-independent (unlike sample()), and the same
+    bits are computable in SQL engines other than Spark."""
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    return df.where(F.pmod(bucket, F.lit(one_in)) == 0)
 
 
 # ------------------------------------------------------------------ dashboard extracts (SNK9/SRC6)
