@@ -10,7 +10,6 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from ridemart.operators import analytics as A, features as FE, marts, silver as S, star  # noqa: E402
 from ridemart.plans.catalog import DEMO_FILTER  # noqa: E402
