@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,11 +13,24 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 
 
+_CHECKED: dict[tuple, int] = {}
+_LOCK = threading.Lock()
+
+
 def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``dim`` if it has at most ``max_rows`` rows.
 
     Meant for materialized dimension tables (a parquet scan), where the count is a cheap
-    metadata-sized job. The check reads at most ``max_rows + 1`` rows.
+    metadata-sized job. The check reads at most ``max_rows + 1`` rows. A result is remembered
+    for the same logical plan over the same input files (an overwrite writes new file names,
+    so a changed table is counted again).
     """
-    n = dim.limit(max_rows + 1).count()
+    key = (dim.semanticHash(), tuple(sorted(dim.inputFiles())))
+    with _LOCK:
+        n = _CHECKED.get(key)
+    if n is None:
+        n = dim.limit(max_rows + 1).count()
+        if key[1]:  # only plans over files are stable enough to remember
+            with _LOCK:
+                _CHECKED[key] = n
     return F.broadcast(dim) if n <= max_rows else dim
