@@ -37,6 +37,11 @@ def _canon(cols, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+                 "float": "FLOAT"}
+
+
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP_HEAVY))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF001)
@@ -44,6 +49,11 @@ def test_query_matches_oracle(spark, con, name):
     if name not in SQL:
         assert len(rows) >= 0
         return
+    rel = con.sql(SQL[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == duck_types
     cur = con.execute(SQL[name])
     cols = [c[0] for c in cur.description]
     assert sorted(df.columns) == sorted(cols)
