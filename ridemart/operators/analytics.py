@@ -424,6 +424,13 @@ def busiest_hour_per_weekday(per_hour_day: DataFrame) -> DataFrame:
             .drop("_rn").withColumn("day_index", X.weekday_index("day_name")))
 
 
+def busiest_hour_overall(per_hour_day: DataFrame) -> DataFrame:
+    """BQ5 (first form): the hour of the day with the most trips over all weekdays (ties:
+    earliest hour). The input is AGG4's (hour, weekday) counts: at most 168 rows."""
+    per_hour = per_hour_day.groupBy("pickup_hour").agg(F.sum("num_trips").alias("num_trips"))
+    return per_hour.orderBy(F.col("num_trips").desc(), F.col("pickup_hour")).limit(1)
+
+
 def revenue_rainy_vs_dry(weather_days: DataFrame) -> DataFrame:
     """BQ6: daily revenue on rainy (light or heavy rain group) versus all other days."""
     g = X.weather_group("weather_desc")

@@ -154,6 +154,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         _wh(s, sf)["fact_trip"], _wh(s, sf)["dim_date"]), {"avg_fare": 2}),
     "BQ5_busiest_hour_per_weekday": lambda s, sf: A.busiest_hour_per_weekday(
         A.trips_per_hour_weekday(_wh(s, sf, "events")["fact_trip"], _wh(s, sf, "events")["dim_date"])),
+    "BQ5_busiest_hour_overall": lambda s, sf: A.busiest_hour_overall(
+        A.trips_per_hour_weekday(_wh(s, sf, "events")["fact_trip"], _wh(s, sf, "events")["dim_date"])),
     "BQ6_revenue_rainy_vs_dry": lambda s, sf: rounded(A.revenue_rainy_vs_dry(
         _weather_days(s, sf)), {"avg_daily_revenue": 2, "total_revenue": 2}),
     "BQ7_trip_details": lambda s, sf: A.trip_details(_trips(s, sf, DEMO_FILTER),

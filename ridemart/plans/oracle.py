@@ -642,6 +642,10 @@ SELECT pickup_hour, day_name, num_trips, {weekday_index('day_name')} AS day_inde
                count(*) AS num_trips
         FROM fact_trip f JOIN dim_date d ON f.trip_booked_for_date_key = d.date_key
         GROUP BY 1, 2)) WHERE rn = 1""", "events")
+    q["BQ5_busiest_hour_overall"] = with_star("""
+SELECT CAST(hour(f.pickup_due_timestamp) AS INTEGER) AS pickup_hour, count(*) AS num_trips
+FROM fact_trip f JOIN dim_date d ON f.trip_booked_for_date_key = d.date_key
+GROUP BY 1 ORDER BY num_trips DESC, pickup_hour LIMIT 1""", "events")
     q["BQ6_revenue_rainy_vs_dry"] = with_weather_days(
         f"SELECT CASE WHEN {g} IN ('Light Rain', 'Heavy Rain') THEN 'Rainy' ELSE 'Dry' END "
         "AS day_type, count(*) AS days, round(avg(total_revenue), 2) AS avg_daily_revenue, "

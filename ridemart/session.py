@@ -29,6 +29,8 @@ def get_spark(master: str | None = None, app: str = "ridemart",
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("RIDEMART_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpoint files of dense-key numbering are removed once their DataFrame is gone
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
