@@ -181,6 +181,28 @@ def _read_train_test(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def landing_weather(spark: SparkSession, sf: str) -> str:
+    """A landing folder of raw weather CSV files."""
+    def stage(path: str) -> None:
+        files.export_csv(testdata.weather_bronze(spark, sf), path)
+    return _once(spark, "landing_weather", sf, stage)
+
+
+_FILE_WH: dict[tuple, object] = {}
+
+
+def files_warehouse(spark: SparkSession, sf: str):
+    """SNK5: the whole build from the two CSV landing folders (once per session)."""
+    from ridemart.plans.build import build_from_files
+    key = (spark.sparkContext.applicationId, sf)
+    with _LOCK:
+        if key not in _FILE_WH:
+            root = scratch_path(spark, "staging", _tag(sf), "files_warehouse")
+            _FILE_WH[key] = build_from_files(spark, landing_bookings(spark, sf),
+                                             landing_weather(spark, sf), root, AS_OF["orders"])
+        return _FILE_WH[key]
+
+
 def _sql_question(name: str):
     source = "events" if name == "trips_per_hour_weekday" else "orders"
     return lambda s, sf: sql_views.saved_question(warehouse(s, sf, source), name)
@@ -189,6 +211,7 @@ def _sql_question(name: str):
 EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "PRJ1_bronze_text_to_silver": lambda s, sf: S.silver_taxi(
         s.read.parquet(bronze_text(s, sf)), AS_OF["orders"]),
+    "SNK5_fact_from_files": lambda s, sf: files_warehouse(s, sf)["fact_trip"],
     "SNK7_feature_view_sql": lambda s, sf: sql_views.feature_view(warehouse(s, sf)),
     "DQ4_bronze_parse_report": lambda s, sf: Q.report(
         s.read.parquet(bronze_text(s, sf)), Q.bronze_parse_rules()),

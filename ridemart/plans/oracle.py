@@ -483,6 +483,7 @@ typed AS (
 )"""
     q: dict[str, str] = {}
     q["WIN1_silver_taxi"] = with_star("SELECT * FROM silver_taxi")
+    q["SNK5_fact_from_files"] = with_star("SELECT * FROM fact_trip", typed=blank_typed)
     q["FLT2_future_pickup_report"] = (
         "WITH " + TYPED_ORDERS.strip() + "\nSELECT count(*) AS rows_in, "
         f"count(*) FILTER (WHERE pickup_due_ts IS NOT NULL AND pickup_due_ts > TIMESTAMP '{AS_OF['orders']}') "
