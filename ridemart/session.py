@@ -11,7 +11,8 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def get_spark(master: str | None = None, app: str = "ridemart",
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None,
+              extra_conf: dict[str, str] | None = None) -> SparkSession:
     """A session with the settings every ridemart job relies on.
 
     UTC session time zone (calendar attributes and minute differences must not depend on the
@@ -32,6 +33,8 @@ def get_spark(master: str | None = None, app: str = "ridemart",
         # checkpoint files of dense-key numbering are removed once their DataFrame is gone
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
