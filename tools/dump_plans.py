@@ -12,6 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 from ridemart.operators import analytics as A, features as FE, marts, silver as S, star  # noqa: E402
+from ridemart.operators import vector as V  # noqa: E402
 from ridemart.plans.catalog import DEMO_FILTER  # noqa: E402
 from ridemart.plans.warehouse import AS_OF, warehouse  # noqa: E402
 from ridemart.session import get_spark  # noqa: E402
@@ -32,6 +33,9 @@ NOTES = {
                  "TakeOrderedAndProject for the top 15.",
     "features": "Feature view: three broadcast lookups, narrow ReadSchema, engineered columns in "
                 "one projection.",
+    "vector_top_k": "Vector search: corpus rows are scored against a literal chunk of query "
+                    "vectors in a projection (no join); a partial WindowGroupLimit keeps k rows "
+                    "per query per task before the shuffle.",
 }
 
 
@@ -57,6 +61,8 @@ def main() -> None:
         "filtered_kpis": A.kpi_cards(DEMO_FILTER.trips(fact, dd, dz)),
         "top_zones": A.top_zones(fact, dz),
         "features": FE.feature_table(FE.trip_features_view(fact, dd, dz)),
+        "vector_top_k": V.top_k(testdata.table(spark, sf, "embeddings"),
+                                V.centroids(testdata.table(spark, sf, "embeddings")), k=10),
     }
     out = ["# PLANS", "",
            "Physical plans (`explain()`, AQE initial plans) of representative operators on "
