@@ -147,3 +147,22 @@ def test_build_from_files_matches_typed_build(spark, wh):
     assert fwh["bronze_taxi_rejects"].count() == spark.read.parquet(f"{SF001}/events.parquet").count()
     again = extra.files_warehouse(spark, SF001)
     assert again is fwh
+
+
+def test_negative_minutes_kept_in_fact_removed_in_features(spark):
+    from ridemart.operators import features as FE
+    rows = [booking_row(**{"Booking ID": "N1", "Time Picked Up": "16/08/2025 09:30",
+                           "Completed": "16/08/2025 09:10"}),
+            booking_row(**{"Booking ID": "P1"})]
+    sil = S.silver_taxi(bronze_df(spark, rows), "2025-09-01 00:00:00")
+    weather = spark.createDataFrame([], ", ".join(
+        ["date date"] + [f"{c} double" for c in
+                         ["avg_temp_c", "total_precip_mm", "avg_wind_speed_kmph", "avg_humidity",
+                          "avg_visibility_km", "avg_cloud_cover", "avg_pressure_mb"]]
+        + ["weather_desc string"]))
+    dd, dz = star.dim_date(sil, weather), star.dim_zone(sil)
+    fact = star.fact_trip(sil, dd, dz)
+    durations = {r.booking_id: r.trip_duration_minutes for r in fact.collect()}
+    assert durations == {"N1": -20.0, "P1": 12.0}
+    feats = FE.feature_table(FE.trip_features_view(fact, dd, dz))
+    assert [r.booking_id for r in feats.collect()] == ["P1"]
