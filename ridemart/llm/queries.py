@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = {"op4_concat_packing": "packing", "op6_benchmark_decontamination": "decontamination",
+_MODULES = {"op1_chat_format": "chat", "op3_rotated_bit_search": "ann", "op4_concat_packing": "packing", "op6_benchmark_decontamination": "decontamination",
             "op7_simhash_near_dedup": "simhash"}
 
 
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
+    from ridemart.llm.chat import OP1_SQL
     from ridemart.llm.decontamination import OP6_SQL
 
-    return {"op6_benchmark_decontamination": OP6_SQL}
+    return {"op1_chat_format": OP1_SQL, "op6_benchmark_decontamination": OP6_SQL}
