@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_shipped: set[str] = set()
 
 
 def get_spark(master: str | None = None, app: str = "ridemart",
@@ -41,6 +44,21 @@ def get_spark(master: str | None = None, app: str = "ridemart",
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application: functions sent to their Python workers
+    import it by name."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="ridemart-ship-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder for checkpoints and intermediate tables.
 
@@ -54,6 +72,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not conf_dir:
+        master = sc.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="ridemart-ckpt-", dir="/tmp")
         spark.conf.set(CHECKPOINT_CONF, conf_dir)
     sc.setCheckpointDir(conf_dir)
