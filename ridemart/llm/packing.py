@@ -11,7 +11,10 @@ empty table gives no pieces; a null id is kept; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,18 +22,38 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridemart.llm.common import chunks, read_table, stored
+from ridemart.llm.common import LOWER, chunks, read_table, stored
 
-#: Words remembered per task with their ids; beyond it the memory starts anew (results don't change).
-REMEMBERED = 400_000
+#: Words remembered per Python worker with their ids; beyond it the memory starts anew (results don't
+#: change).
+REMEMBERED = 500_000
+_LATIN = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]"
+_WORD = re.compile(f"{_LATIN}+")
+#: Words of Latin letters, each with at most one comma or full stop, between spaces and line ends.
+_PLAIN = re.compile(f"[ \\n]*+(?:{_LATIN}++[.,]?[ \\n]++)*+(?:{_LATIN}++[.,]?)?")
+_MARKS = b".,!?;:|%$&*#)\"-"
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level BPE's letter for each byte: printable bytes stand for themselves, the others for the
+    characters from 256 on."""
+    out, after = {}, 256
+    for b in range(256):
+        if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174:
+            out[b] = chr(b)
+        else:
+            out[b] = chr(after)
+            after += 1
+    return out
 
 
 class WordTokenizer:
-    """Ids of whole texts, equal to ``Tokenizer.encode(text, add_special_tokens=False)`` for tokenizers
-    that never join characters across ASCII white space, as word-level BPE files do.
+    """Ids of whole texts, equal to ``Tokenizer.encode(text, add_special_tokens=False)`` for a lower-casing
+    byte-level BPE file with word ends, which never joins characters across ASCII white space.
 
-    A text is split there and each different word is encoded once. Texts that hold the string of a
-    special token are encoded whole."""
+    A text is split there and each different word is encoded once. Words of Latin letters, less marks
+    that follow them (a piece of their own), go to the BPE model directly; other words go through the
+    whole tokenizer. Texts that hold the string of a special token are encoded whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -38,32 +61,57 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.letters = _byte_letters()
         self.known: dict[bytes, bytes] = {}
 
-    def _encode(self, words: list[bytes]) -> None:
-        for i in range(0, len(words), 4096):
-            part = words[i:i + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(part, found))
+    def _bytes(self, ids) -> bytes:
+        return array(self.code, ids).tobytes()
+
+    def _find(self, word: bytes) -> bytes:
+        """Ids of a run of characters without ASCII white space."""
+        text = word.decode()
+        if _WORD.fullmatch(text):
+            text = text.lower()
+            if not text.isascii():
+                text = text.encode().decode("latin-1").translate(self.letters)
+            ids = self._bytes([t.id for t in self.tokenizer.model.tokenize(text)])
+        elif len(core := word.rstrip(_MARKS)) < len(word) and _WORD.fullmatch(core.decode()):
+            ids = self._ids(core) + self._ids(word[len(core):])
+        else:
+            ids = self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        self.known[word] = ids
+        return ids
+
+    def _ids(self, word: bytes) -> bytes:
+        ids = self.known.get(word)
+        return self._find(word) if ids is None else ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian ids of each text, ``dtype`` wide."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        split = [t.split() for t in texts]
-        new: set[bytes] = set()
-        for words in split:
-            new.update(words)
-        self._encode([w for w in new if w not in self.known])
-        known = self.known.__getitem__
-        out = [b"".join(map(known, words)) for words in split]
-        for i, t in enumerate(texts):
+        get, out = self.known.get, []
+        for t in texts:
             if any(s in t for s in self.special):
-                ids = self.tokenizer.encode(t.decode(), add_special_tokens=False).ids
-                out[i] = np.array(ids, self.dtype).tobytes()
+                out.append(self._bytes(self.tokenizer.encode(t.decode(), add_special_tokens=False).ids))
+                continue
+            if _PLAIN.fullmatch(t.decode()):  # here letter case and single marks never change a piece
+                t = t.translate(LOWER).replace(b",", b" ,").replace(b".", b" .")
+            words = t.split()
+            ids = list(map(get, words))
+            if None in ids:
+                ids = [self._ids(w) if i is None else i for i, w in zip(ids, words)]
+            out.append(b"".join(ids))
         return out
 
 
+@cache
+def coder(path: str) -> WordTokenizer:
+    """One tokenizer for each Python worker, kept between its tasks."""
+    return WordTokenizer(path)
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -76,13 +124,13 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "d
     schema = "part int, local_start long, doc_id long, n long, width int, ids binary"
 
     def run(batches):
-        coder, part, at = WordTokenizer(tokenizer), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], coder.dtype).tobytes()
-        width = coder.dtype.itemsize
+        encoder, part, at = coder(tokenizer), TaskContext.get().partitionId(), 0
+        end = np.array([end_id], encoder.dtype).tobytes()
+        width = encoder.dtype.itemsize
         for b in batches:
             done, ids = 0, b.column(0).cast(pa.int64())
-            for texts in chunks(b.column(1).cast(pa.string())):
-                codes = [x + end for x in coder.encode(texts)]
+            for texts in chunks(b.column(1).cast(pa.string()), 1 << 18):
+                codes = [x + end for x in encoder.encode(texts)]
                 n = np.array([len(x) // width for x in codes], np.int64)
                 starts = at + np.cumsum(n) - n
                 at += int(n.sum())
