@@ -7,9 +7,9 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = {"op1_chat_format": "chat", "op2_weak_toxicity": "toxicity", "op3_rotated_bit_search": "ann", "op4_concat_packing": "packing", "op6_benchmark_decontamination": "decontamination",
-            "op7_simhash_near_dedup": "simhash", "op8_quality_classifier": "quality",
-            "op9_license_scan": "licenses", "op10_log_bilinear": "lm_scoring"}
+_MODULES = {"op1_chat_format": "chat", "op2_weak_toxicity": "toxicity", "op3_rotated_bit_search": "ann", "op4_concat_packing": "packing", "op5_pii_surrogates": "pii", "op6_benchmark_decontamination": "decontamination",
+            "op7_simhash_near_dedup": "simhash",
+            "op8_quality_classifier": "quality", "op9_license_scan": "licenses", "op10_log_bilinear": "lm_scoring"}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
