@@ -136,20 +136,27 @@ class LabelModel:
         lists = votes[:, :len(LEXICONS)].any(1)
         post = np.where(told, np.where(gold == 1, LABEL_ACCURACY, 1 - LABEL_ACCURACY), np.where(lists, 0.9, prior / 2))
         self.share = np.ones(k)
-        for i in range(rounds):
-            self.rate = [((w[:, None] * votes).sum(0) + 0.01 * (1 + 9 * c)) / (w.sum() + 0.1 + 0.1 * c)
-                         for c, w in ((0, 1 - post), (1, post))]
-            self.prior = float(np.clip(post.mean(), 0.001, 0.999))
-            if i % 10 == 9:  # what the classes leave unexplained
-                rest = votes - (1 - post)[:, None] * self.rate[0] - post[:, None] * self.rate[1]
-                spread = np.sqrt((rest ** 2).mean(0)) + 1e-9
-                self.correlation = (rest.T @ rest) / n / spread[:, None] / spread
-                together = np.where(self.correlation > 0.3, self.correlation, 0)
-                np.fill_diagonal(together, 0)
-                self.share = 1 / (1 + together.sum(1))
+        # what the classes leave unexplained, before the fit could explain twins by a class of their own:
+        # on the rows with a human label, or on all rows as first guessed
+        known, w = (votes[told], post[told]) if told.any() else (votes, post)
+        self._rates(known, w)
+        rest = known - (1 - w)[:, None] * self.rate[0] - w[:, None] * self.rate[1]
+        spread = np.sqrt((rest ** 2).mean(0)) + 1e-9
+        self.correlation = (rest.T @ rest) / len(known) / spread[:, None] / spread
+        together = np.where(self.correlation > 0.3, self.correlation, 0)
+        np.fill_diagonal(together, 0)
+        self.share = 1 / (1 + together.sum(1))
+        for _ in range(rounds):
+            self._rates(votes, post)
             post = self.posterior(votes, gold)
         return self
 
+    def _rates(self, votes: np.ndarray, post: np.ndarray) -> None:
+        """How often each voter fires in either class, and the share of class 1."""
+        self.rate = [((w[:, None] * votes).sum(0) + 0.01 * (1 + 9 * c)) / (w.sum() + 0.1 + 0.1 * c)
+                     for c, w in ((0, 1 - post), (1, post))]
+        self.prior = float(np.clip(post.mean(), 0.001, 0.999))
+
     def posterior(self, votes: np.ndarray, gold: np.ndarray) -> np.ndarray:
         a, b = (np.clip(r, 1e-5, 1 - 1e-5) for r in self.rate)
         fired, quiet = self.share * np.log(b / a), self.share * np.log((1 - b) / (1 - a))

@@ -1,0 +1,87 @@
+import re
+
+from pyspark.sql import functions as F
+
+from ridemart.llm import pii
+
+SF = "/root/testdata/sf0.01"
+TEXTS = ["Mr. John Smith met Frau Anna Schmidt, Mr John Smith; г-жа Мария Петрова и г-н Попов.",
+         "call +44 20 7946 0958 or +442079460958, 123-45-6789, pay 4111 1111 1111 1111 or 4111-1111-1111-1111",
+         "A.B@X.ORG a.b@x.org, müller@straße.de; 10.1.2.3 but v1.2.3.4.5", 'token = "abcdefghij" password=Hunter22',
+         None, "", "nothing here: 12 apples", "iban DE89370400440532013000 DE89 3704 0044 0532 0130 00 end"]
+
+
+def replaced(spark, texts):
+    df = spark.createDataFrame([(i, t, "d", 1) for i, t in enumerate(texts)], "doc_id long, text string, digest string, row int")
+    return {r.row.doc_id: r for r in pii.replace_entities(df).collect()}
+
+
+def luhn(s):
+    d = [int(c) for c in s if c.isdigit()]
+    return sum(x if i % 2 == 0 else (x * 2 - 9 if x > 4 else x * 2) for i, x in enumerate(reversed(d))) % 10 == 0
+
+
+def test_types_formats_and_coreference(spark):
+    got = replaced(spark, TEXTS)
+    e = [x for i in range(len(TEXTS)) for x in got[i].entities]
+    by = {x["raw"]: x["surrogate"] for x in e}
+    assert by["Mr. John Smith"].replace(". ", " ") == by["Mr John Smith"]
+    assert by["Mr John Smith"].split()[1] in pii.NAMES["m", "latin"] and by["Frau Anna Schmidt"].split()[1] in pii.NAMES["f", "latin"]
+    assert by["г-жа Мария Петрова"].split()[1] in pii.NAMES["f", "cyrillic"] and re.fullmatch("г-н [А-Я][а-я]+", by["г-н Попов"])
+    digits = lambda s: re.sub(r"\D", "", s)
+    assert digits(by["+44 20 7946 0958"]) == digits(by["+442079460958"]) and by["+44 20 7946 0958"].startswith("+44 ")
+    assert digits(by["4111 1111 1111 1111"]) == digits(by["4111-1111-1111-1111"]) and luhn(by["4111 1111 1111 1111"])
+    assert by["A.B@X.ORG"] == by["a.b@x.org"].upper() and by["a.b@x.org"].endswith(".org")
+    assert by["DE89370400440532013000"] == by["DE89 3704 0044 0532 0130 00"].replace(" ", "")
+    shape = lambda s: re.sub("[a-zа-я]", "a", re.sub("[A-ZА-Я]", "A", re.sub(r"\d", "9", s)))
+    for x in e:
+        assert x["raw"] != x["surrogate"]
+        if x["kind"] not in ("name", "ipv4") and x["raw"].isascii():
+            assert shape(x["raw"]) == shape(x["surrogate"])
+    assert {"Hunter22", "abcdefghij"} <= set(by) and "1.2.3.4.5" in got[2].text
+    assert got[4].text is None and got[5].text == "" and got[6].text == TEXTS[6]
+
+
+def test_texts_are_whole_around_entities(spark):
+    for i, r in replaced(spark, TEXTS).items():
+        text = TEXTS[i]
+        for x in r.entities:
+            before, text = text.split(x["raw"], 1)
+            assert r.text.startswith(before + x["surrogate"])
+            r = type("R", (), {"text": r.text[len(before + x["surrogate"]):]})
+        assert r.text == text
+
+
+def test_corpus_has_no_collision_and_no_leak(spark):
+    rows = pii.replace_entities(spark.read.parquet(f"{SF}/documents.parquet")).select("row.text", F.col("text").alias("new"), "entities").collect()
+    to, back = {}, {}
+    for r in rows:
+        for x in r.entities:
+            assert to.setdefault((x["kind"], x["raw"]), x["surrogate"]) == x["surrogate"]
+            assert back.setdefault((x["kind"], x["surrogate"]), x["raw"]) == x["raw"]
+    assert len(to) > 50
+    old, new = "\n".join(r[0] for r in rows), "\n".join(r.new for r in rows)
+    assert not [raw for _, raw in to if raw in new] and not [s for s in to.values() if s in old]
+    assert not re.findall(r"[\w.]+@mail\d\.example\.com|AKIA\w{16}", "") and all(r[0] == r.new for r in rows if not r.entities)
+
+
+def test_collisions_draw_again(spark, monkeypatch):
+    """With a draw that always gives the same at first, and a real value next, values still differ."""
+    values = spark.createDataFrame([("x", v) for v in ("a", "b", "c", "d2")], "kind string, value string")
+    monkeypatch.setattr(pii, "_surrogate", lambda kind, value, attempt, key: F.concat(F.lit("d"), (attempt + 1).cast("string")))
+    got = {r.value: r.surrogate for r in pii.surrogates(values, "k").collect()}
+    assert len(set(got.values())) == 4 and not set(got.values()) & set(got)
+
+
+def test_main_path_is_native(spark, docs):
+    plan = pii.op5_pii_surrogates(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_odd_rows(spark, odd, empty):
+    done = pii.without_personal_data(odd)
+    assert done.columns == odd.columns and sorted(map(str, done.collect())) == sorted(map(str, odd.collect()))
+    assert pii.replace_entities(empty).count() == 0
+    mail = spark.createDataFrame([(1, "x@y.org")] * 3 + [(None, "x@y.org")], "doc_id long, text string")
+    assert {r.text for r in pii.without_personal_data(mail).collect()} != {"x@y.org"}
+    assert pii.without_personal_data(mail).count() == 4
