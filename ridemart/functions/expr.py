@@ -36,6 +36,11 @@ def parse_number(c: str | Column) -> Column:
     return F.regexp_replace(col(c), ",", "").try_cast("double")
 
 
+def parse_int(c: str | Column) -> Column:
+    """Text or number -> integer; '85.0' is 85 and '85.9' is 85, bad text is NULL."""
+    return col(c).try_cast("double").try_cast("int")
+
+
 def blank_to_null(c: str | Column) -> Column:
     """NULL when the trimmed text is empty, otherwise the value unchanged (not trimmed)."""
     c = col(c)

@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridemart.functions import expr as X
-from ridemart.operators.joins import bounded_broadcast
 
 
 # ---------------------------------------------------------------------------- filters (FLT9-13)
@@ -60,7 +59,7 @@ class TripFilter:
 
     def trips(self, fact: DataFrame, dim_date: DataFrame, dim_zone: DataFrame) -> DataFrame:
         """Trips with full_date/day_name; date, day, zone and payment selections (FLT9-10)."""
-        d = bounded_broadcast(dim_date.select("date_key", "full_date", "day_name"))
+        d = dim_date.select("date_key", "full_date", "day_name")
         fact = fact.where(self.key_range())
         t = fact.join(d, fact["trip_booked_for_date_key"] == d["date_key"], "inner").drop("date_key")
         t = t.where(self._dates(F.col("full_date")))
@@ -75,7 +74,7 @@ class TripFilter:
 
     def zone_days(self, zone_daily: DataFrame, dim_date: DataFrame, dim_zone: DataFrame) -> DataFrame:
         """Zone-daily rows; date, day and zone selections (no payment: the mart has none)."""
-        d = bounded_broadcast(dim_date.select("date_key", "full_date", "day_name"))
+        d = dim_date.select("date_key", "full_date", "day_name")
         z = zone_daily.join(d, zone_daily["trip_booked_for_date_key"] == d["date_key"], "inner")
         z = z.where(self._dates(F.col("full_date")))
         if self.days:
@@ -93,14 +92,14 @@ class TripFilter:
         if self.hours:
             h = h.where(F.col("hour_of_day").isin(list(self.hours)))
         if self.weather:
-            wd = bounded_broadcast(dim_date.where(F.col("weather_desc").isin(list(self.weather)))
+            wd = (dim_date.where(F.col("weather_desc").isin(list(self.weather)))
                                    .select(F.col("full_date").alias("trip_date")))
             h = h.join(wd, "trip_date", "left_semi")
         return h
 
     def weather_days(self, daily_kpis: DataFrame, dim_date: DataFrame) -> DataFrame:
         """Daily KPIs with the day's weather; days without weather dropped (JN8)."""
-        w = bounded_broadcast(dim_date.select(
+        w = (dim_date.select(
             "full_date", "avg_temp_c", "total_precip_mm", "avg_wind_speed_kmph", "avg_humidity",
             "weather_desc"))
         k = daily_kpis.join(w, "full_date", "inner").where(F.col("avg_temp_c").isNotNull())
@@ -113,12 +112,12 @@ class TripFilter:
 
 
 def _zone_keys(dim_zone: DataFrame, zones, key_name: str) -> DataFrame:
-    return bounded_broadcast(dim_zone.where(F.col("zone_code").isin(list(zones)))
+    return (dim_zone.where(F.col("zone_code").isin(list(zones)))
                              .select(F.col("zone_key").alias(key_name)))
 
 
 def _zone_lookup(dim_zone: DataFrame) -> DataFrame:
-    return bounded_broadcast(dim_zone.select(F.col("zone_key").alias("pickup_zone_key"),
+    return (dim_zone.select(F.col("zone_key").alias("pickup_zone_key"),
                                              "zone_code"))
 
 
@@ -133,7 +132,7 @@ def monthly_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """AGG3: revenue and trips per (year, month_name, month); pre-aggregated on the date key."""
     per_key = fact.groupBy("trip_booked_for_date_key").agg(
         F.sum("fare_amount").alias("rev"), F.count("trip_key").alias("n"))
-    d = bounded_broadcast(dim_date.select("date_key", "year", "month_name", "month"))
+    d = dim_date.select("date_key", "year", "month_name", "month")
     j = per_key.join(d, per_key["trip_booked_for_date_key"] == d["date_key"], "inner")
     return j.groupBy("year", "month_name", "month").agg(
         F.sum("rev").alias("total_revenue"), F.sum("n").alias("total_trips"))
@@ -144,7 +143,7 @@ def trips_per_hour_weekday(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     per_key = fact.groupBy("trip_booked_for_date_key",
                            F.hour("pickup_due_timestamp").alias("pickup_hour")).agg(
         F.count(F.lit(1)).alias("n"))
-    d = bounded_broadcast(dim_date.select("date_key", "day_name"))
+    d = dim_date.select("date_key", "day_name")
     j = per_key.join(d, per_key["trip_booked_for_date_key"] == d["date_key"], "inner")
     return j.groupBy("pickup_hour", "day_name").agg(F.sum("n").alias("num_trips"))
 
@@ -175,7 +174,7 @@ def wait_by_weekday(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
         F.count("expected_vs_actual_pickup_minutes_difference").alias("wn"),
         F.sum("trip_duration_minutes").alias("ds"),
         F.count("trip_duration_minutes").alias("dn"))
-    d = bounded_broadcast(dim_date.select("date_key", "day_name"))
+    d = dim_date.select("date_key", "day_name")
     j = per_key.join(d, per_key["trip_booked_for_date_key"] == d["date_key"], "inner")
     return j.groupBy("day_name").agg(
         F.round(F.sum("ws") / F.sum("wn"), 2).alias("avg_wait_min"),
@@ -232,7 +231,7 @@ def zone_revenue_map(zone_days: DataFrame, dim_zone: DataFrame) -> DataFrame:
     per_key = zone_days.where(F.col("pickup_zone_key").isNotNull()).groupBy("pickup_zone_key").agg(
         _sum0("total_revenue").alias("total_revenue"),
         F.sum("total_trips").alias("total_trips"))
-    z = bounded_broadcast(dim_zone.select(F.col("zone_key").alias("pickup_zone_key"),
+    z = (dim_zone.select(F.col("zone_key").alias("pickup_zone_key"),
                                           "zone_code", "latitude", "longitude"))
     j = per_key.join(z, "pickup_zone_key", "inner")
     return j.select("pickup_zone_key", "zone_code", "latitude", "longitude", "total_revenue",
@@ -341,27 +340,28 @@ def trip_details(trips: DataFrame, dim_zone: DataFrame) -> DataFrame:
                       for c in DETAIL_COLUMNS] + ["trip_key"])
 
 
-# Pages whose last row lies within this many rows of the top are cut with a top-k
-# (TakeOrderedAndProject keeps offset+size rows per task); deeper pages are cut from a
-# distributed numbering of the sort order, so no task ever holds the rows before the page.
-MAX_TOP_K_ROWS = 100_000
-
-
-def page(details: DataFrame, page_no: int = 1, page_size: int = 50,
-         max_top_k_rows: int = MAX_TOP_K_ROWS) -> DataFrame:
+def page(details: DataFrame, page_no: int = 1, page_size: int = 50) -> DataFrame:
     """ORD5: one page of the detail table, newest first, ties by trip_key; the page number is
-    clamped to [1, total_pages]."""
-    total = details.count()
+    clamped to [1, total_pages].
+
+    Row counts by date (one small row per date) tell which dates the page lies in; only their rows
+    are then ordered, so no task holds the rows of newer dates, however deep the page is.
+    """
+    newest = Window.orderBy(F.col("full_date").desc_nulls_last())
+    by_date = details.groupBy("full_date").agg(F.count(F.lit(1)).alias("n")).select(
+        "full_date", "n", (F.sum("n").over(newest) - F.col("n")).alias("before")).persist()
+    total = by_date.agg(F.sum("n")).first()[0] or 0
     total_pages = max(1, (total + page_size - 1) // page_size)
     p = min(max(1, page_no), total_pages)
     start = (p - 1) * page_size
-    order = [F.col("full_date").desc_nulls_last(), F.col("trip_key").asc()]
-    if start + page_size <= max_top_k_rows:
-        out = details.orderBy(*order).offset(start).limit(page_size)
-    else:
-        from ridemart.operators.keys import dense_key
-        ranked = dense_key(details, order, "_pos")
-        out = ranked.where((F.col("_pos") >= start) & (F.col("_pos") < start + page_size))
+    dates = by_date.where((F.col("before") < start + page_size) & (F.col("before") + F.col("n") > start)).orderBy("before").collect()
+    by_date.unpersist()
+    held = [d.full_date for d in dates]  # at most one per row of the page
+    inside = F.col("full_date").isin([d for d in held if d is not None])
+    if None in held:
+        inside = F.coalesce(inside, F.lit(False)) | F.col("full_date").isNull()
+    out = (details.where(inside).orderBy(F.col("full_date").desc_nulls_last(), F.col("trip_key").asc())
+           .offset(start - dates[0].before if dates else 0).limit(page_size))
     return out.select(*DETAIL_COLUMNS, F.lit(p).alias("page"),
                       F.lit(total_pages).alias("total_pages"))
 
@@ -371,7 +371,7 @@ def page(details: DataFrame, page_no: int = 1, page_size: int = 50,
 def revenue_last_week(fact: DataFrame, dim_date: DataFrame, as_of) -> DataFrame:
     """BQ1: revenue and trips over the seven days before ``as_of``'s date."""
     end = F.to_date(F.lit(str(as_of)).cast("timestamp"))
-    d = bounded_broadcast(dim_date.where((F.col("full_date") >= F.date_sub(end, 7))
+    d = (dim_date.where((F.col("full_date") >= F.date_sub(end, 7))
                                          & (F.col("full_date") < end)).select("date_key"))
     k = F.col("trip_booked_for_date_key")  # same range on the fact's key: reaches its scan
     f = fact.where((k >= X.date_key(F.date_sub(end, 7))) & (k < X.date_key(end)))
@@ -396,7 +396,7 @@ def weather_duration_effect(fact: DataFrame, dim_date: DataFrame, daily_kpis: Da
     next to the trip-weighted mean duration."""
     per_key = fact.groupBy("trip_booked_for_date_key").agg(
         F.sum("trip_duration_minutes").alias("ds"), F.count("trip_duration_minutes").alias("dn"))
-    d = bounded_broadcast(dim_date.where(F.col("weather_desc").isNotNull())
+    d = (dim_date.where(F.col("weather_desc").isNotNull())
                           .select("date_key", "full_date", "weather_desc"))
     j = per_key.join(d, per_key["trip_booked_for_date_key"] == d["date_key"], "inner")
     j = j.join(daily_kpis.select("full_date", "avg_trip_duration_min"), "full_date", "inner")
@@ -411,7 +411,7 @@ def avg_fare_by_weekday(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """BQ4: mean fare per weekday."""
     per_key = fact.groupBy("trip_booked_for_date_key").agg(
         F.sum("fare_amount").alias("s"), F.count("fare_amount").alias("n"))
-    d = bounded_broadcast(dim_date.select("date_key", "day_name"))
+    d = dim_date.select("date_key", "day_name")
     j = per_key.join(d, per_key["trip_booked_for_date_key"] == d["date_key"], "inner")
     return (j.groupBy("day_name").agg((F.sum("s") / F.sum("n")).alias("avg_fare"))
             .withColumn("day_index", X.weekday_index("day_name")))

@@ -6,11 +6,9 @@ here the view, the engineered columns, the filters and the split are DataFrame e
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridemart.operators.joins import bounded_broadcast
-from ridemart.operators.keys import dense_key
 
 TARGET = "trip_duration_minutes"
 
@@ -42,13 +40,13 @@ VIEW_COLUMNS = [
 
 def trip_features_view(fact: DataFrame, dim_date: DataFrame, dim_zone: DataFrame) -> DataFrame:
     """JN7: fact LEFT JOIN dim_date, pickup zone, destination zone; trips with a duration."""
-    d = bounded_broadcast(dim_date.select(F.col("date_key").alias("_dk"), "day", "month",
+    d = (dim_date.select(F.col("date_key").alias("_dk"), "day", "month",
                                           "quarter", "year", "weekend_flag"))
-    p = bounded_broadcast(dim_zone.select(F.col("zone_key").alias("_pk"),
+    p = (dim_zone.select(F.col("zone_key").alias("_pk"),
                                           F.col("zone_code").alias("pickup_zone_code"),
                                           F.col("latitude").alias("pickup_latitude"),
                                           F.col("longitude").alias("pickup_longitude")))
-    q = bounded_broadcast(dim_zone.select(F.col("zone_key").alias("_qk"),
+    q = (dim_zone.select(F.col("zone_key").alias("_qk"),
                                           F.col("zone_code").alias("destination_zone_code"),
                                           F.col("latitude").alias("destination_latitude"),
                                           F.col("longitude").alias("destination_longitude")))
@@ -93,11 +91,10 @@ def feature_table(view: DataFrame) -> DataFrame:
 
 
 def split_bucket(seed: int = 42):
-    """0..99 from a multiplicative hash of (trip_key + seed): the same row always lands in
-    the same bucket, independent of partitioning (unlike randomSplit)."""
-    k = F.pmod(F.col("trip_key") + F.lit(seed) * F.lit(7919), F.lit(2147483648))
-    mixed = F.pmod(k * F.lit(1103515245) + F.lit(12345), F.lit(2147483648))
-    return F.pmod(F.floor(mixed / F.lit(65536)), F.lit(100)).cast("int")
+    """0..99 from the first 32 bits of md5(booking_id:seed): a booking stays in its bucket whatever other
+    trips arrive and however rows are partitioned. A NULL booking id counts as empty text."""
+    digest = F.md5(F.concat(F.coalesce(F.col("booking_id").cast("string"), F.lit("")), F.lit(f":{seed}")))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(100)).cast("int")
 
 
 def with_split(features: DataFrame, test_pct: int = 20, seed: int = 42) -> DataFrame:
@@ -112,24 +109,56 @@ def null_profile(df: DataFrame) -> DataFrame:
     return counts.unpivot([], df.columns, "column_name", "null_count")
 
 
-def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
-    """AGG27: exact median per column (mean of the two middle values for an even count).
+def exact_medians(df: DataFrame, columns: list[str], most: int = 100_000) -> DataFrame:
+    """AGG27: exact median per column (mean of the two middle values for an even count), one row for
+    each column that has values.
 
-    No group is ever collected: the values are unpivoted to (column_name, value), numbered
-    globally in (column_name, value) order by range partitioning (``dense_key``), and each
-    column's middle ranks are picked out with a join against per-column counts. A tie-breaking
-    hash in the order splits a repeated value across partitions.
+    One aggregate over all columns gives approximate quantiles close around the middle; a second one
+    counts exactly what lies below and inside that bracket. A bracket that misses a middle rank is
+    drawn wider, one with more than ``most`` different values narrower, until each is small. Only the
+    values inside the brackets are then counted by value and ranked. Nothing is sorted as a whole.
     """
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("value"))
-        for c in columns])).alias("_kv")).select("_kv.*").where(F.col("value").isNotNull())
-    long = long.withColumn("_tb", F.xxhash64(F.monotonically_increasing_id()))
-    ranked = dense_key(long, [F.col("column_name"), F.col("value"), F.col("_tb")], "_rank")
-    stats = ranked.groupBy("column_name").agg(F.min("_rank").alias("_first"),
-                                              F.count(F.lit(1)).alias("_n"))
-    lo = F.col("_first") + F.floor((F.col("_n") - 1) / 2)
-    hi = F.col("_first") + F.ceil((F.col("_n") - 1) / 2)
-    mids = stats.select("column_name", lo.alias("_lo"), hi.alias("_hi"))
-    picked = ranked.join(F.broadcast(mids), "column_name").where(
-        (F.col("_rank") == F.col("_lo")) | (F.col("_rank") == F.col("_hi")))
-    return picked.groupBy("column_name").agg(F.avg("value").alias("median"))
+    spark, eps = df.sparkSession, dict.fromkeys(range(len(columns)), 2e-4)
+    vals = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+
+    def counted(cols, cond):
+        """(below, inside, different values inside) of each column, in one pass."""
+        row = vals.agg(*[e for i in cols for e in (
+            F.count_if(F.col(f"c{i}") < cond[i][0]), F.count_if(F.col(f"c{i}").between(*cond[i])),
+            F.approx_count_distinct(F.when(F.col(f"c{i}").between(*cond[i]), F.col(f"c{i}"))))]).first()
+        return {i: tuple(row[3 * j:3 * j + 3]) for j, i in enumerate(cols)}
+
+    ends = vals.agg(*[e for i in range(len(columns)) for e in (F.min(f"c{i}"), F.max(f"c{i}"))]).first()
+    bracket = {i: (ends[2 * i], ends[2 * i + 1]) for i in range(len(columns)) if ends[2 * i] is not None}
+    if not bracket:
+        return spark.createDataFrame([], "column_name string, median double")
+    held = counted(list(bracket), bracket)
+    ranks = {i: ((held[i][1] - 1) // 2, held[i][1] // 2) for i in bracket}
+    wide = [i for i in bracket if held[i][2] > most]
+    while wide:
+        shares = {i: [min(1.0, max(0.0, (r - held[i][0] + side) / held[i][1] + sign * eps[i]))
+                      for r, side, sign in zip(ranks[i], (0, 1), (-1, 1))] for i in wide}
+        row = vals.agg(*[F.percentile_approx(F.when(F.col(f"c{i}").between(*bracket[i]), F.col(f"c{i}")), shares[i], 10_000)
+                         for i in wide]).first()
+        tried = {i: tuple(q) for i, q in zip(wide, row)}
+        got, again = counted(wide, tried), []
+        for i in wide:
+            below, inside, different = got[i]
+            if below <= ranks[i][0] and ranks[i][1] < below + inside:
+                narrower = tried[i] != bracket[i]
+                bracket[i], held[i] = tried[i], got[i]
+                if different > most and narrower:
+                    again.append(i)
+            else:
+                eps[i] *= 4
+                again.append(i)
+        wide = again
+    inside = vals.select(F.explode(F.array(*[
+        F.when(F.col(f"c{i}").between(*b), F.struct(F.lit(i).alias("i"), F.col(f"c{i}").alias("value")))
+        for i, b in bracket.items()])).alias("x")).where("x is not null").select("x.*")
+    upto = F.sum("n").over(Window.partitionBy("i").orderBy("value"))
+    counts = inside.groupBy("i", "value").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto)
+    wanted = spark.createDataFrame([(i, columns[i], r - held[i][0]) for i in bracket for r in ranks[i]],
+                                   "i int, column_name string, r long")  # two rows a column
+    return (counts.join(F.broadcast(wanted), "i").where("r >= upto - n and r < upto")
+            .groupBy("column_name").agg(F.avg("value").alias("median")))

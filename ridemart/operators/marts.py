@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridemart.operators.joins import bounded_broadcast
 
 
 def daily_kpis(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -27,7 +26,7 @@ def daily_kpis(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
         F.sum("distance").alias("_dist_sum"),
         F.count("distance").alias("_dist_n"),
     )
-    d = bounded_broadcast(dim_date.select("date_key", "full_date", "day_name"))
+    d = dim_date.select("date_key", "full_date", "day_name")
     j = per_key.join(d, per_key["trip_booked_for_date_key"] == d["date_key"], "inner")
     return j.select(
         "full_date", "day_name", "total_revenue",
@@ -51,7 +50,7 @@ def hourly_trips(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
         "trip_booked_for_date_key",
         F.hour("pickup_due_timestamp").alias("hour_of_day"),
     ).agg(F.count(F.lit(1)).alias("trip_count"))
-    d = bounded_broadcast(dim_date.select("date_key", "full_date", "day_name"))
+    d = dim_date.select("date_key", "full_date", "day_name")
     j = per_key.join(d, per_key["trip_booked_for_date_key"] == d["date_key"], "inner")
     return j.select(F.col("full_date").alias("trip_date"), "day_name",
                     F.col("hour_of_day").cast("int").alias("hour_of_day"), "trip_count")

@@ -111,7 +111,7 @@ def bronze_parse_rules() -> list[Rule]:
         elif kind == "number":
             parsed = X.parse_number(c)
         elif kind == "int":
-            parsed = c.try_cast("int")
+            parsed = X.parse_int(c)
         elif kind == "double":
             parsed = c.try_cast("double")
         else:

@@ -44,7 +44,7 @@ def parse_bronze(bronze: DataFrame) -> DataFrame:
         elif kind == "ts":
             e = X.parse_ts(c)
         elif kind == "int":
-            e = c.try_cast("int")
+            e = X.parse_int(c)
         elif kind == "number":
             e = X.parse_number(c)
         else:  # double

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridemart.functions import expr as X
-from ridemart.operators.joins import bounded_broadcast
 from ridemart.operators.keys import dense_key
 from ridemart.sources.schemas import DIM_DATE_COLUMNS, DIM_ZONE_COLUMNS, FACT_TRIP_COLUMNS
 
@@ -50,7 +49,7 @@ def dim_date(silver: DataFrame, weather_daily: DataFrame) -> DataFrame:
     dates = (silver.select(F.to_date("pickup_due_ts").alias("full_date"))
              .where(F.col("full_date").isNotNull()).distinct())
     cal = calendar(dates)
-    weather = bounded_broadcast(weather_daily)
+    weather = weather_daily
     return (cal.join(weather, cal["full_date"] == weather["date"], "left")
             .select(*DIM_DATE_COLUMNS))
 
@@ -59,8 +58,8 @@ def dim_zone(silver: DataFrame) -> DataFrame:
     """SET1 + WIN2 + WIN4: zones seen as pickup or destination, one row per zone code.
 
     The coordinates kept are those with the lowest latitude (NULL first), ties by longitude;
-    the partial window limit before the shuffle pre-reduces a hot zone to one row per map
-    task. zone_key is the 0-based position in zone_code order, dense and deterministic.
+    distinct triples are taken first, partially before the shuffle, so a hot zone costs
+    each map task its few different places. zone_key is the 0-based position in zone_code order, dense and deterministic.
     """
     from ridemart.operators.silver import keep_first
     pickup = silver.select(F.col("pickup_zone").alias("zone_code"),
@@ -69,7 +68,8 @@ def dim_zone(silver: DataFrame) -> DataFrame:
     dest = silver.select(F.col("destination_zone").alias("zone_code"),
                          F.col("destination_latitude").alias("latitude"),
                          F.col("destination_longitude").alias("longitude"))
-    zones = keep_first(pickup.unionByName(dest).where(F.col("zone_code").isNotNull()),
+    triples = pickup.unionByName(dest).where(F.col("zone_code").isNotNull()).distinct()  # AGG28
+    zones = keep_first(triples,
                        ["zone_code"], [F.col("latitude").asc_nulls_first(),
                                        F.col("longitude").asc_nulls_first()])
     keyed = dense_key(zones, [F.col("zone_code").asc()], "zone_key")
@@ -90,11 +90,11 @@ def fact_trip(silver: DataFrame, dim_date_df: DataFrame, dim_zone_df: DataFrame,
     still split across ranges because booking_id is unique within it).
     """
     e = enrich(silver)
-    dates = bounded_broadcast(dim_date_df.select(
+    dates = (dim_date_df.select(
         F.col("date_key").alias("trip_booked_for_date_key"), F.col("full_date").alias("_fd")))
-    pz = bounded_broadcast(dim_zone_df.select(
+    pz = (dim_zone_df.select(
         F.col("zone_key").alias("pickup_zone_key"), F.col("zone_code").alias("_pz")))
-    dz = bounded_broadcast(dim_zone_df.select(
+    dz = (dim_zone_df.select(
         F.col("zone_key").alias("destination_zone_key"), F.col("zone_code").alias("_dz")))
     joined = (e.join(dates, e["trip_date"] == dates["_fd"], "left")
               .join(pz, e["pickup_zone"] == pz["_pz"], "left")

@@ -1,34 +1,17 @@
 """Vector search (VEC1): exact top-k cosine neighbours of a set of query vectors.
 
-The corpus is scanned once per chunk of queries. Queries are broadcast in chunks of at most
-``max_broadcast_queries`` vectors (a checked bound); every corpus row is scored against the
-chunk with array higher-order functions (JVM-side, no UDF), and the top k per query is kept
-with a window whose partial step runs before the shuffle, so each task sends at most k rows
-per query. More queries than the bound are handled exactly by more chunks, never by dropping
-candidates.
+Corpus rows are dealt to shards and queries to blocks, both of bounded size; a (shard, block) cell scores
+its rows with one matrix product and returns at most k rows per query, so no pair of row and query
+ever becomes a row. The best of the cells are then ranked per query.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridemart.operators.keys import dense_key
-
-
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")),
-                       F.lit(0.0), lambda acc, z: acc + z)
-
-
-def norm(a: Column) -> Column:
-    return F.sqrt(F.aggregate(F.transform(a, lambda x: x.cast("double") * x.cast("double")),
-                              F.lit(0.0), lambda acc, z: acc + z))
-
-
-def cosine(a: Column, b: Column) -> Column:
-    return F.try_divide(dot(a, b), norm(a) * norm(b))
-
 
 def centroids(corpus: DataFrame, group: str = "label", vec: str = "embedding") -> DataFrame:
     """Mean vector per group: per-dimension averages (map-side partial aggregation), then the
@@ -41,32 +24,40 @@ def centroids(corpus: DataFrame, group: str = "label", vec: str = "embedding") -
 
 
 def top_k(corpus: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id",
-          vec: str = "embedding", max_broadcast_queries: int = 1000) -> DataFrame:
-    """(query_id, id, similarity, rank) for the k most similar corpus rows of every query;
-    ties by id.
+          vec: str = "embedding", shard_rows: int = 16_384, block_rows: int = 1024) -> DataFrame:
+    """(query_id, id, similarity, rank) for the k most similar corpus rows of every query; ties by id.
 
-    Each chunk of at most ``max_broadcast_queries`` query vectors travels to the tasks as one
-    array literal (a checked size); corpus rows are scored against it in a projection, so
-    there is no join at all. Chunks are numbered with ``dense_key`` and processed in turn.
+    Vectors that are null, zero or of another length than the query have a NULL similarity and rank last.
     """
-    numbered = dense_key(queries.select("query_id", "query_vec"), [F.col("query_id")], "_qn")
-    n = numbered.count()
-    chunks = max(1, -(-n // max_broadcast_queries))
-    result = None
-    for c in range(chunks):
-        rows = (numbered.where((F.col("_qn") >= c * max_broadcast_queries)
-                               & (F.col("_qn") < (c + 1) * max_broadcast_queries))
-                .orderBy("_qn").collect())
-        if not rows:
-            continue
-        ids = F.lit([r["query_id"] for r in rows])
-        vecs = F.lit([[float(x) for x in r["query_vec"]] for r in rows])
-        scored = corpus.select(
-            F.col(id_col).alias("id"),
-            F.posexplode(F.transform(vecs, lambda q: cosine(F.col(vec), q))).alias("_qi", "similarity"))
-        scored = scored.select(F.element_at(ids, F.col("_qi") + 1).alias("query_id"), "id",
-                               "similarity")
-        w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc_nulls_last(), F.col("id"))
-        best = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-        result = best if result is None else result.unionByName(best)
-    return result
+    id_type, query_type = corpus.schema[id_col].dataType.simpleString(), queries.schema["query_id"].dataType.simpleString()
+    shards = max(1, -(-corpus.count() // shard_rows))
+    blocks = max(1, -(-queries.count() // block_rows))
+
+    def every(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    rows = corpus.select(F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("v"),
+                         F.pmod(F.xxhash64(id_col), F.lit(shards)).alias("shard"), every(blocks).alias("block"))
+    asked = queries.select("query_id", F.col("query_vec").cast("array<double>").alias("q"),
+                           F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"), every(shards).alias("shard"))
+    asked = asked.withColumn("shard", F.col("shard").cast("long"))
+
+    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids, vectors = left["id"].to_pylist(), left["v"].to_pylist()
+        out: list[tuple] = []
+        for query, q in zip(right["query_id"].to_pylist(), right["q"].to_pylist()):
+            fits = [v is not None and q is not None and len(v) == len(q) and None not in v for v in vectors]
+            score = np.full(len(ids), np.nan)
+            if any(fits):
+                x, y = np.array([v for v, f in zip(vectors, fits) if f]), np.array(q, float)
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    score[fits] = x @ y / (np.linalg.norm(x, axis=1) * np.linalg.norm(y))
+            best = sorted(range(len(ids)), key=lambda i: (np.isnan(score[i]), -score[i] if not np.isnan(score[i]) else 0, ids[i]))
+            out += [(query, ids[i], None if np.isnan(score[i]) else float(score[i])) for i in best[:k]]
+        kinds = [right["query_id"].type, left["id"].type, pa.float64()]
+        return pa.table([pa.array([o[j] for o in out], t) for j, t in enumerate(kinds)], names=["query_id", "id", "similarity"])
+
+    near = rows.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(
+        cell, f"query_id {query_type}, id {id_type}, similarity double")
+    w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc_nulls_last(), F.col("id"))
+    return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ridemart.functions import expr as X
+
 from ridemart.sources.schemas import WEATHER_SPEC
 
 _READING_COLUMNS = [name for name, _, _ in WEATHER_SPEC if name not in ("date", "loc_id")]
@@ -20,7 +22,7 @@ def parse_weather(bronze: DataFrame) -> DataFrame:
         elif kind == "string":
             e = c.cast("string")
         else:
-            e = c.try_cast(kind)
+            e = X.parse_int(c) if kind == "int" else c.try_cast(kind)
         cols.append(e.alias(name))
     return bronze.select(*cols)
 

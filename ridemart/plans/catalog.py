@@ -174,10 +174,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query, including the ones defined in other plan modules."""
-    out = dict(QUERIES)
-    try:
-        from ridemart.plans.extra import EXTRA_QUERIES
-        out.update(EXTRA_QUERIES)
-    except ImportError:
-        pass
-    return out
+    from ridemart.plans.extra import EXTRA_QUERIES
+    return QUERIES | EXTRA_QUERIES

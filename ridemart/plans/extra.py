@@ -10,19 +10,18 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridemart.operators import quality as Q
 from ridemart.operators import silver as S
 from ridemart.operators import vector as V
 from ridemart.operators import weather as W
-from ridemart.operators.keys import dense_key
 from ridemart.plans import sql_views
 from ridemart.plans.warehouse import AS_OF, warehouse
 from ridemart.session import scratch_path
 from ridemart.sources import files, testdata
-from ridemart.sources.schemas import BOOKING_RAW_COLUMNS, CORRUPT_COLUMN
+from ridemart.sources.schemas import BOOKING_RAW_COLUMNS, CORRUPT_COLUMN, SILVER_SPEC
 from ridemart.streaming import ingest, live
 
 _LOCK = threading.RLock()
@@ -81,34 +80,83 @@ def bronze_stream_table(spark: SparkSession, sf: str) -> str:
 
 
 def _good(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return files.split_malformed(spark.read.parquet(path))
+    return files.split_malformed(ingest.read_bronze(spark, path))
 
 
-def event_slices(spark: SparkSession, sf: str, min_slices: int = 8,
-                 rows_per_slice: int = 50_000) -> str:
-    """Events as consecutive one-file Parquet appends in event-time order: a replayable
-    stream whose files arrive in time order (at most ``rows_per_slice`` rows per file)."""
+def _md5_number(text) -> Column:
+    """The first 32 bits of md5, which other SQL engines compute alike."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+
+
+def landing_mixed(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Two landing folders of booking files: one in the usual shape, one with its columns in reverse, a
+    column more, and integers written with decimals. Bookings are dealt by a hash of their id."""
+    def stage(path: str) -> None:
+        raw = spark.read.parquet(bronze_text(spark, sf))
+        late = _md5_number(F.col("`Booking ID`")) % 2 == 1
+        files.export_csv(raw.where(~late), f"{path}/first")
+        whole = [raw_name for _, raw_name, kind in SILVER_SPEC if kind == "int"]
+        odd = raw.where(late).select(*[
+            F.when(F.col(f"`{c}`").rlike("^-?[0-9]+$"), F.concat(F.col(f"`{c}`"), F.lit(".0"))).otherwise(F.col(f"`{c}`")).alias(c)
+            if c in whole else F.col(f"`{c}`") for c in reversed(raw.columns)], F.lit("call, first").alias("Driver Notes"))
+        files.export_csv(odd, f"{path}/second")
+    path = _once(spark, "landing_mixed", sf, stage)
+    return f"{path}/first", f"{path}/second"
+
+
+def bronze_mixed(spark: SparkSession, sf: str) -> str:
+    """SRC1: both folders as one batch."""
+    def stage(path: str) -> None:
+        raw = files.read_csv(spark, list(landing_mixed(spark, sf)), BOOKING_RAW_COLUMNS, glob="*.csv")
+        files.overwrite(files.add_ingest_metadata(raw), path)
+    return _once(spark, "bronze_mixed", sf, stage)
+
+
+def two_landings(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC2 + SNK4: two files' worth of bookings landing one after the other, then a run that finds nothing
+    new: rows appended by each run, and rows in the table."""
+    def stage(path: str) -> None:
+        first, second = landing_mixed(spark, sf)
+        runs = [ingest.ingest_available(ingest.bronze_stream(spark, f"{path}/land/*", BOOKING_RAW_COLUMNS, glob="*.csv"),
+                                        f"{path}/table", f"{path}/_checkpoint")
+                for step in (first, second, None)
+                if step is None or files.export_csv(spark.read.option("header", True).csv(step), f"{path}/land/{step.rsplit('/', 1)[1]}") is None]
+        spark.createDataFrame([(f"run_{i + 1}", n) for i, n in enumerate(runs)], "step string, rows long").write.parquet(f"{path}/runs")
+    path = _once(spark, "two_landings", sf, stage)
+    held = ingest.read_bronze(spark, f"{path}/table").agg(F.count(F.lit(1)).alias("rows"))
+    return spark.read.parquet(f"{path}/runs").unionByName(held.select(F.lit("table").alias("step"), "rows"))
+
+
+def appended_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """DQ7: a batch with repeated and NULL keys appended twice; rows before and after each run."""
+    b = spark.read.parquet(bronze_text(spark, sf)).select(
+        F.when(_md5_number(F.col("`Booking ID`")) % 7 != 0, F.col("`Booking ID`")).alias("booking_id"),
+        F.col("Price").alias("price"), (_md5_number(F.concat(F.col("`Booking ID`"), F.lit(":held"))) % 2 == 0).alias("early"))
+    held = b.where("early")
+    base = files.append_new(held.limit(0), held, ["booking_id"])
+    once = base.unionByName(files.append_new(base, b, ["booking_id"]))
+    twice = files.append_new(once, b, ["booking_id"])
+    parts = [("base", base), ("after_first", once), ("added_by_second", twice)]
+    out = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("step"), "rows") for n, df in parts]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def event_slices(spark: SparkSession, sf: str) -> str:
+    """Events as a folder of Parquet files, each a range of event time: what the stream replays."""
     def stage(path: str) -> None:
         ev = testdata.table(spark, sf, "events").select(
             "event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
-        numbered = dense_key(ev, [F.col("ts"), F.col("event_id")], "_n")
-        n = numbered.count()
-        slices = max(min_slices, -(-n // rows_per_slice))
-        size = max(1, -(-n // slices))
-        for i in range(slices):
-            (numbered.where((F.col("_n") >= i * size) & (F.col("_n") < (i + 1) * size))
-             .drop("_n").coalesce(1).write.mode("append").parquet(path))
+        ev.repartitionByRange("ts", "event_id").write.mode("overwrite").parquet(path)
     return _once(spark, "event_slices", sf, stage)
 
 
 def live_tile(spark: SparkSession, sf: str) -> DataFrame:
-    """STR1: replay the event slices one file per micro-batch into the windowed tile."""
+    """STR1: replay the events into the windowed tile."""
     src = event_slices(spark, sf)
-    out = scratch_path(spark, "streams", _tag(sf), "tile")
 
     def run(path: str) -> None:
         schema = spark.read.parquet(src).schema
-        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
         live.run_tile(live.windowed_counts(stream), f"{path}/out", f"{path}/_checkpoint")
 
     path = _once(spark, "tile", sf, run)
@@ -232,6 +280,10 @@ EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("malformed_rows")),
     "SRC2_stream_ingest_to_silver": lambda s, sf: S.silver_taxi(
         _good(s, bronze_stream_table(s, sf))[0], AS_OF["orders"]),
+    "SRC1_mixed_headers_to_silver": lambda s, sf: S.silver_taxi(
+        _good(s, bronze_mixed(s, sf))[0], AS_OF["orders"]),
+    "SRC2_two_landings": two_landings,
+    "DQ7_append_twice": appended_twice,
     "SNK8_build_summary": lambda s, sf: warehouse(s, sf).summary(),
     "DQ4_weather_quality_report": lambda s, sf: Q.report(_weather_deduped(s, sf), Q.weather_rules()),
     "DQ3_weather_quarantine": lambda s, sf: Q.apply_rules(

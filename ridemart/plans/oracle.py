@@ -441,9 +441,7 @@ feat AS (
 
 
 def _split_sql() -> str:
-    k = "((trip_key + 42 * 7919) % 2147483648)"
-    mixed = f"(({k} * 1103515245 + 12345) % 2147483648)"
-    return f"CAST(({mixed} // 65536) % 100 AS INTEGER)"
+    return "CAST(('0x' || substr(md5(coalesce(booking_id, '') || ':42'), 1, 8)) AS BIGINT) % 100"
 
 
 VIEW_COLS = [
@@ -734,6 +732,18 @@ def build_extra() -> dict[str, str]:
         f"SELECT '{c}_parses' AS rule, 'expect' AS mode, count(*) AS rows_checked, "
         "count(*) AS passed, CAST(0 AS BIGINT) AS failed FROM lineitem" for c in parse_rules)
     q["SRC2_stream_ingest_to_silver"] = base["PRJ1_bronze_text_to_silver"]
+    q["SRC1_mixed_headers_to_silver"] = base["PRJ1_bronze_text_to_silver"]
+    q["SRC2_two_landings"] = (
+        "WITH l AS (SELECT CAST(('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)), 1, 8)) "
+        "AS BIGINT) % 2 AS h FROM lineitem) "
+        "SELECT 'run_1' AS step, count(*) AS rows FROM l WHERE h = 0 UNION ALL SELECT 'run_2', count(*) FROM l WHERE h = 1 "
+        "UNION ALL SELECT 'run_3', 0 UNION ALL SELECT 'table', count(*) FROM l")
+    q["DQ7_append_twice"] = (
+        "WITH i AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS b FROM lineitem), "
+        "k AS (SELECT CASE WHEN CAST(('0x' || substr(md5(b), 1, 8)) AS BIGINT) % 7 <> 0 THEN b ELSE '(null)' END AS k, "
+        "CAST(('0x' || substr(md5(b || ':held'), 1, 8)) AS BIGINT) % 2 = 0 AS early FROM i) "
+        "SELECT 'base' AS step, count(DISTINCT k) AS rows FROM k WHERE early UNION ALL "
+        "SELECT 'after_first', count(DISTINCT k) FROM k UNION ALL SELECT 'added_by_second', 0")
     q["DQ3_ingest_malformed_counts"] = (
         "SELECT (SELECT count(*) FROM lineitem) AS good_rows, "
         "(SELECT count(*) FROM events) AS malformed_rows")

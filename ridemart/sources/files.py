@@ -2,27 +2,62 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ridemart.sources.schemas import CORRUPT_COLUMN, all_string_schema
 
+SOURCE_FILE_COLUMN = "_source_file"
+
+
+def file_headers(spark: SparkSession, path: str | list[str], glob: str | None = None) -> dict[str, list[str]]:
+    """The files of a landing folder by their header line. One pass over the text: every
+    task keeps one line per file, the first of the file's first block."""
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    lines = reader.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                     F.col("_metadata.file_block_start").alias("start"),
+                                     F.monotonically_increasing_id().alias("at"))
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    found: dict[str, list[str]] = {}
+    for r in first.orderBy("file").collect():  # one row per file, as a listing of the folder
+        found.setdefault(r.header, []).append(unquote(r.file))
+    return found
+
 
-def read_csv(spark: SparkSession, path: str, columns: list[str], glob: str | None = None) -> DataFrame:
-    """SRC1: header CSV with an explicit all-string schema in PERMISSIVE mode.
+def read_csv(spark: SparkSession, path: str | list[str], columns: list[str], glob: str | None = None,
+             required: list[str] | None = None) -> DataFrame:
+    """SRC1: header CSV files as text columns, mapped by each file's own header.
 
-    Lines whose field count differs from the header are kept with their raw text in
-    ``_corrupt_record`` instead of being dropped silently, so they can be counted and
-    quarantined (``split_malformed``). No schema inference: one pass over the files.
+    The result has ``columns``, then every other column that some file has, the raw text of lines
+    that do not fit their header in ``_corrupt_record``, and the file in ``_source_file``. Files may
+    order their columns differently. A file without a ``required`` column (default: all ``columns``)
+    is rejected line by line, never mapped by position. No schema inference.
     """
-    reader = (spark.read.schema(all_string_schema(columns, with_corrupt=True))
-              .option("header", True).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-              .option("enforceSchema", True))
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.csv(path)
+    needed, parts = set(columns if required is None else required), []
+    for header, group in file_headers(spark, path, glob).items():
+        names = [n.strip() for n in next(csv.reader([header.lstrip("\ufeff")]), [])]
+        usable = needed <= set(names) and len(set(names)) == len(names)
+        if usable:
+            raw = (spark.read.schema(all_string_schema(names, with_corrupt=True))
+                   .option("header", True).option("mode", "PERMISSIVE")
+                   .option("columnNameOfCorruptRecord", CORRUPT_COLUMN).option("enforceSchema", True).csv(group))
+            named = [F.col(f"`{n}`") for n in names] + [F.col(CORRUPT_COLUMN)]
+        else:
+            raw = spark.read.text(group).where((F.trim("value") != "") & (F.col("value") != header))
+            named = [F.col("value").alias(CORRUPT_COLUMN)]
+        parts.append(raw.select(*named, F.col("_metadata.file_path").alias(SOURCE_FILE_COLUMN)))
+    empty = StructType([StructField(c, StringType()) for c in (*columns, CORRUPT_COLUMN, SOURCE_FILE_COLUMN)])
+    out = spark.createDataFrame([], empty)
+    for part in parts:
+        out = out.unionByName(part, allowMissingColumns=True)
+    extra = [c for c in out.columns if c not in empty.fieldNames()]
+    return out.select(*[F.col(f"`{c}`") for c in (*columns, *extra, CORRUPT_COLUMN, SOURCE_FILE_COLUMN)])
 
 
 def split_malformed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -35,9 +70,11 @@ def split_malformed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def add_ingest_metadata(df: DataFrame, source_file: str | None = None,
                         ts_col: str = "_ingest_timestamp", file_col: str = "_source_file") -> DataFrame:
-    """SRC4: ingest time and source file (a literal, or the scan's own file path)."""
-    src = F.lit(source_file) if source_file else F.col("_metadata.file_path")
-    return df.withColumn(ts_col, F.current_timestamp()).withColumn(file_col, src)
+    """SRC4: ingest time and source file (a literal, or the file that ``read_csv`` noted)."""
+    out = df.drop(SOURCE_FILE_COLUMN) if source_file else df
+    src = F.lit(source_file) if source_file else F.col(SOURCE_FILE_COLUMN)
+    return out.withColumn(ts_col, F.current_timestamp()).withColumn(file_col, src).select(
+        *[F.col(f"`{c}`") for c in out.columns if c != SOURCE_FILE_COLUMN], ts_col, file_col)
 
 
 def normalise_names(df: DataFrame) -> DataFrame:
@@ -82,8 +119,15 @@ def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -
 
 
 def append_new(existing: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
-    """DQ7 (batch form): only the incoming rows whose key is not already present."""
-    return incoming.join(existing.select(*key).distinct(), key, "left_anti")
+    """DQ7 (batch form): of the incoming rows, the first per key whose key is not already present. NULL
+    keys compare as equal, so a rerun appends nothing; which of several rows of a key stays depends
+    on all columns, not on their order."""
+    order = [F.col(f"`{c}`").asc_nulls_last() for c in incoming.columns if c not in key]
+    fresh = incoming.withColumn("_nth", F.row_number().over(
+        Window.partitionBy(*key).orderBy(*(order or [F.lit(1)])))).where("_nth = 1").drop("_nth")
+    held = existing.select(*[F.col(k).alias(f"_held_{k}") for k in key]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in key])
+    return fresh.join(held, same, "left_anti")
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -113,6 +157,7 @@ EXTRACT_SCHEMAS = {
                         "avg_trip_duration_min double, total_trips long, avg_distance_km double"),
     "fact_zone_daily_agg": ("trip_booked_for_date_key int, pickup_zone_key int, "
                             "total_revenue double, total_trips long"),
+    "fact_trip_sample": None,  # the fact's own schema, see read_extract
     "trips_per_hour_by_day": "trip_date date, day_name string, hour_of_day int, trip_count long",
 }
 
@@ -134,7 +179,11 @@ def write_dashboard_extracts(tables: dict[str, DataFrame], path: str, sample_one
     return paths
 
 
-def read_extract(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """SRC6: an extract read with its explicit schema (dates parsed as dates, no inference)."""
-    return (spark.read.schema(EXTRACT_SCHEMAS[name]).option("header", True)
+def read_extract(spark: SparkSession, path: str, name: str, schema: StructType | None = None) -> DataFrame:
+    """SRC6: an extract read with its explicit schema (dates parsed as dates, no inference). The trip
+    sample has the fact table's ``schema``, which the caller gives."""
+    known = EXTRACT_SCHEMAS[name] or schema
+    if known is None:
+        raise ValueError(f"{name} needs the schema of the table it was taken from")
+    return (spark.read.schema(known).option("header", True)
             .option("mode", "FAILFAST").csv(f"{path}/{name}"))

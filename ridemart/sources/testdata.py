@@ -32,7 +32,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridemart.operators.joins import bounded_broadcast
 from ridemart.sources.schemas import BOOKING_RAW_COLUMNS, SILVER_COLUMNS, WEATHER_RAW_COLUMNS
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -59,7 +58,7 @@ def _add_seconds(ts: Column, seconds: Column) -> Column:
 
 def _nation_names(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
-    return bounded_broadcast(n.select(F.col("n_nationkey").alias(f"{prefix}_nationkey"),
+    return (n.select(F.col("n_nationkey").alias(f"{prefix}_nationkey"),
                                       F.col("n_name").alias(f"{prefix}_zone")))
 
 

@@ -53,14 +53,16 @@ def test_empty_filter_selection_is_no_filter(spark):
     assert A.TripFilter(start="2025-01-07").trips(fact, dim_date, dim_zone).count() == 0
 
 
-def test_deep_page_path_equals_top_k_path(spark):
-    rows = [(f"B{i}", dt.date(2025, 1, 1 + i % 28), "Monday", "Z1", "C", "cash", float(i), 1.0,
+def test_pages_cut_the_newest_first_order(spark):
+    rows = [(f"B{i}", None if i % 50 == 49 else dt.date(2025, 1, 1 + i % 28), "Monday", "Z1", "C", "cash", float(i), 1.0,
              2.0, "app", 1, i) for i in range(500)]
     schema = ("booking_id string, full_date date, day_name string, pickup_zone string, "
               "status string, payment_type string, fare_amount double, distance double, "
               "trip_duration_minutes double, booking_source string, priority_level int, trip_key long")
     details = spark.createDataFrame(rows, schema).repartition(4)
-    for page_no in (1, 4, 10):
-        small = A.page(details, page_no, 50).collect()
-        deep = A.page(details, page_no, 50, max_top_k_rows=0).collect()
-        assert sorted(small) == sorted(deep) and len(small) == 50
+    order = [r[0] for r in sorted(rows, key=lambda r: (r[1] is None, -(r[1] or dt.date(1970, 1, 1)).toordinal(), r[-1]))]
+    for page_no, held in ((1, 1), (4, 4), (10, 10), (99, 10), (-3, 1)):
+        got = A.page(details, page_no, 50).collect()
+        assert sorted(r.booking_id for r in got) == sorted(order[(held - 1) * 50:held * 50])
+        assert {(r.page, r.total_pages) for r in got} == {(held, 10)}
+    assert A.page(details.limit(0)).count() == 0

@@ -6,8 +6,9 @@ import tempfile
 from conftest import SF001, booking_row
 from pyspark.sql import functions as F
 
+from ridemart.operators.silver import parse_bronze
 from ridemart.sources import files
-from ridemart.sources.schemas import BOOKING_RAW_COLUMNS, CORRUPT_COLUMN
+from ridemart.sources.schemas import BOOKING_RAW_COLUMNS, CORRUPT_COLUMN, WEATHER_RAW_COLUMNS
 from ridemart.streaming import ingest, live
 
 
@@ -60,6 +61,53 @@ def test_stream_ingest_equals_batch_and_second_run_adds_nothing(spark):
     assert sorted(streamed.select(*key).collect()) == sorted(batch.select(*key).collect())
 
 
+def test_columns_are_taken_by_header_name(spark):
+    d = _tmp()
+    row = dict(zip(BOOKING_RAW_COLUMNS, booking_row(**{"Booking ID": "B1", "Priority": "3.0", "Price": "7.5"})))
+    _write_csv(f"{d}/land/a.csv", BOOKING_RAW_COLUMNS, [_line(booking_row(**{"Booking ID": "B0"}))])
+    back = list(reversed(BOOKING_RAW_COLUMNS))
+    _write_csv(f"{d}/land/b.csv", [*back, "Driver Notes"], [_line([*[row[c] for c in back], "late"]), "x,y"])
+    _write_csv(f"{d}/land/c.csv", ["x", "y"], ["1,2", "3,4"])
+    raw = files.read_csv(spark, f"{d}/land", BOOKING_RAW_COLUMNS)
+    assert raw.columns[:len(BOOKING_RAW_COLUMNS)] == BOOKING_RAW_COLUMNS and "Driver Notes" in raw.columns
+    files.overwrite(raw, f"{d}/bronze")
+    good, bad = files.split_malformed(spark.read.parquet(f"{d}/bronze"))
+    got = {r["Booking ID"]: r for r in good.collect()}
+    assert set(got) == {"B0", "B1"} and got["B1"]["Price"] == "7.5"
+    assert (got["B0"]["Driver Notes"], got["B1"]["Driver Notes"]) == (None, "late")
+    assert sorted(r.raw_line for r in bad.collect()) == ["1,2", "3,4", "x,y"]
+    silver = parse_bronze(good).where("booking_id = 'B1'").first()
+    assert silver.priority == 3 and silver.price == 7.5
+
+
+def test_weather_with_a_wider_file_loses_nothing(spark):
+    d = _tmp()
+    cols = WEATHER_RAW_COLUMNS
+    line = {c: "10" for c in cols} | {cols[0]: "2025-01-01"}
+    _write_csv(f"{d}/land/w.csv", [*cols, "station name"], [",".join([*(line[c] for c in cols), "north"])] * 2)
+    files.overwrite(files.read_csv(spark, f"{d}/land", cols), f"{d}/bronze")
+    good, bad = files.split_malformed(spark.read.parquet(f"{d}/bronze"))
+    assert good.count() == 2 and bad.count() == 0 and {r["station name"] for r in good.collect()} == {"north"}
+
+
+def test_second_landing_is_appended(spark):
+    d = _tmp()
+    for i, name in enumerate(["a", "b"]):
+        _write_csv(f"{d}/land/{name}.csv", BOOKING_RAW_COLUMNS + ["extra"] * i,
+                   [_line(booking_row(**{"Booking ID": f"{name}{k}"})) + ",e" * i for k in range(3)])
+        land = ingest.bronze_stream(spark, f"{d}/land", BOOKING_RAW_COLUMNS)
+        assert ingest.ingest_available(land, f"{d}/bronze", f"{d}/ckpt") == 3
+    assert ingest.read_bronze(spark, f"{d}/bronze").count() == 6
+
+
+def test_append_new_with_null_and_repeated_keys(spark):
+    old = spark.createDataFrame([(1, "a")], "k int, v string")
+    new = spark.createDataFrame([(1, "b"), (2, "d"), (2, "c"), (None, "n"), (None, "m")], "k int, v string")
+    added = files.append_new(old, new, ["k"])
+    assert sorted(map(str, added.collect())) == sorted(["Row(k=2, v='c')", "Row(k=None, v='m')"])
+    assert files.append_new(old.union(added), new, ["k"]).count() == 0
+
+
 def test_normalise_names_and_append_new(spark):
     df = spark.createDataFrame([(1, "a")], "`loc id` int, `weather Desc` string")
     assert files.normalise_names(df).columns == ["loc_id", "weather_Desc"]

@@ -90,7 +90,7 @@ def test_vector_top_k_against_brute_force(spark):
     emb = spark.read.parquet(f"{SF001}/embeddings.parquet")
     rows = emb.collect()
     cents = V.centroids(emb)
-    res = V.top_k(emb, cents, k=5, max_broadcast_queries=1)  # several chunks on purpose
+    res = V.top_k(emb, cents, k=5, shard_rows=100, block_rows=1)  # several cells on purpose
     got = {}
     for r in res.collect():
         got.setdefault(r.query_id, []).append((r.rank, r.id))
@@ -112,3 +112,25 @@ def test_bronze_parse_rules_count_bad_text(spark):
     assert rep["completed_ts_parses"] == 1 and rep["price_parses"] == 1
     assert rep["priority_parses"] == 0  # blank is missing, not malformed
     assert rep["pickup_due_ts_parses"] == 0
+
+
+def test_exact_medians_narrow_to_a_bracket(spark):
+    import random
+    import statistics
+    rnd = random.Random(5)
+    cols = {"a": [rnd.gauss(0, 1) for _ in range(4001)], "b": [rnd.choice([1.0, 1.0, 2.0, 9.0]) for _ in range(4001)],
+            "c": [None] * 4001, "d": [float(i % 2000) if i % 3 else None for i in range(4001)], "e": [rnd.random() * 10 ** rnd.randint(0, 9) for _ in range(4001)]}
+    df = spark.createDataFrame([tuple(v[i] for v in cols.values()) for i in range(4001)], "a double, b double, c double, d double, e double")
+    for most in (100_000, 20):
+        got = {r.column_name: r.median for r in FE.exact_medians(df, list(cols), most=most).collect()}
+        assert got == {k: statistics.median([x for x in v if x is not None]) for k, v in cols.items() if k != "c"}
+
+
+def test_vector_top_k_odd_vectors(spark):
+    emb = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0, 1.0]), (5, [2.0, 0.0]), (6, [1.0])],
+                                "vec_id long, embedding array<double>")
+    q = spark.createDataFrame([(9, [1.0, 0.0])], "query_id long, query_vec array<double>")
+    got = sorted((r["rank"], r.id, r.similarity) for r in V.top_k(emb, q, k=5).collect())
+    assert [g[1] for g in got] == [1, 5, 4, 2, 3] and got[3][2] is None
+    plan = V.top_k(emb, q, k=5)._jdf.queryExecution().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "posexplode" not in plan

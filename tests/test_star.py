@@ -166,3 +166,18 @@ def test_negative_minutes_kept_in_fact_removed_in_features(spark):
     assert durations == {"N1": -20.0, "P1": 12.0}
     feats = FE.feature_table(FE.trip_features_view(fact, dd, dz))
     assert [r.booking_id for r in feats.collect()] == ["P1"]
+
+
+def test_dense_key_runs_few_jobs_and_ignores_splits(spark):
+    df = spark.range(0, 3000, numPartitions=40).select((F.col("id") * 7 % 3001).alias("k"))
+    plan = dense_key(df, [F.col("k")], "n")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("dense-key-test", "dense key")
+    try:
+        keyed = dense_key(df, [F.col("k")], "n").collect()
+        jobs = len(tracker.getJobIdsForGroup("dense-key-test"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [r.n for r in sorted(keyed, key=lambda r: r.k)] == list(range(3000))
+    assert plan.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert jobs <= 8
