@@ -177,7 +177,7 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_linear(x: np.ndarray, y: np.ndarray, rounds: int = 400, rate: float = 0.1, decay: float = 1e-5
+def fit_linear(x: np.ndarray, y: np.ndarray, rounds: int = 1200, rate: float = 0.1, decay: float = 1e-5
                ) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by Adam over the whole sample."""
     w, m, s = np.zeros(x.shape[1] + 1), 0.0, 0.0
