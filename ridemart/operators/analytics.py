@@ -18,7 +18,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridemart.functions import expr as X
@@ -306,7 +306,8 @@ def date_range(dim_date: DataFrame) -> DataFrame:
 
 
 def filter_options(dim_date: DataFrame, dim_zone: DataFrame, fact: DataFrame) -> DataFrame:
-    """FLT14: the dashboard's option lists as (option, value, position) rows; NULLs dropped."""
+    """FLT14: the dashboard's option lists as (option, value, position) rows, weekdays from Monday and all
+    others in the order of their values; NULLs dropped."""
     spark = fact.sparkSession
 
     def opts(df: DataFrame, c: str, name: str) -> DataFrame:
@@ -325,7 +326,14 @@ def filter_options(dim_date: DataFrame, dim_zone: DataFrame, fact: DataFrame) ->
     allopts = (opts(dim_zone, "zone_code", "zone").unionByName(opts(fact, "payment_type", "payment"))
                .unionByName(opts(dim_date, "weather_desc", "weather")).unionByName(hours)
                .unionByName(days).unionByName(dates))
-    return allopts.select("option", "value")
+    weekday = F.array_position(F.array(*[F.lit(d) for d in X.WEEKDAYS]), F.col("value"))
+    order = Window.partitionBy("option").orderBy(F.when(F.col("option") == "day", weekday), "value")
+    return allopts.select("option", "value", F.row_number().over(order).alias("position"))
+
+
+def with_position(answer: DataFrame, *order: Column) -> DataFrame:
+    """ORD1: a question's answer (a few rows per key) with each row's place in its order, from 1."""
+    return answer.withColumn("position", F.row_number().over(Window.orderBy(*order)))
 
 
 DETAIL_COLUMNS = ["booking_id", "full_date", "day_name", "pickup_zone", "status", "payment_type",

@@ -10,10 +10,23 @@ from __future__ import annotations
 
 import datetime as dt
 
-from ridemart.functions.expr import WEATHER_GROUP_RULES, WEATHER_GROUPS, WEEKDAYS
-from ridemart.operators.features import NUMERIC_FEATURES
-from ridemart.plans.warehouse import AS_OF
-from ridemart.sources.testdata import WEATHER_DESCS
+# Fixed values, stated here again so that a wrong constant of the engine shows.
+WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+WEATHER_GROUPS = ["Dry/Clear", "Overcast/Fog", "Light Rain", "Heavy Rain", "Snow/Ice"]
+WEATHER_GROUP_RULES = [
+    ("Snow/Ice", ["snow", "blizzard", "sleet", "ice"]),
+    ("Heavy Rain", ["heavy rain", "moderate rain", "torrential"]),
+    ("Light Rain", ["light rain", "drizzle", "patchy rain", "shower"]),
+    ("Overcast/Fog", ["fog", "mist", "overcast", "cloudy"]),
+]
+WEATHER_DESCS = ["Patchy rain possible", "Light rain shower", "Moderate rain at times", "Light freezing rain",
+                 "Overcast", "Light snow", "Sunny"]
+NUMERIC_FEATURES = [
+    "fare_amount", "distance", "expected_vs_actual_pickup_minutes_difference", "dispatch_to_arrival_minutes",
+    "month", "quarter", "year", "weekend_flag", "pickup_latitude", "pickup_longitude", "fare_per_distance",
+    "pickup_delay_signal", "journey_urgency", "lat_delta", "lon_delta", "location_distance_proxy",
+]
+AS_OF = {"orders": "2001-06-30 00:00:00", "events": "2024-01-28 00:00:00"}
 
 
 def _lst(values) -> str:
@@ -590,7 +603,7 @@ WHERE zone_code IN (SELECT zone_code FROM top)""")
         "SELECT min(full_date) AS min_date, max(full_date) AS max_date FROM dim_date")
     days_values = ", ".join(f"('{d}')" for d in WEEKDAYS)
     q["FLT14_filter_options"] = with_star(f"""
-SELECT 'zone' AS option, zone_code AS value FROM (SELECT DISTINCT zone_code FROM dim_zone
+, o AS (SELECT 'zone' AS option, zone_code AS value FROM (SELECT DISTINCT zone_code FROM dim_zone
                                                   WHERE zone_code IS NOT NULL)
 UNION ALL SELECT 'payment', payment_type FROM (SELECT DISTINCT payment_type FROM fact_trip
                                                WHERE payment_type IS NOT NULL)
@@ -599,7 +612,10 @@ UNION ALL SELECT 'weather', weather_desc FROM (SELECT DISTINCT weather_desc FROM
 UNION ALL SELECT 'hour', lpad(CAST(h AS VARCHAR), 2, '0') || ':00' FROM range(24) t(h)
 UNION ALL SELECT 'day', v FROM (VALUES {days_values}) t(v)
 UNION ALL SELECT 'min_date', CAST(min(full_date) AS VARCHAR) FROM dim_date
-UNION ALL SELECT 'max_date', CAST(max(full_date) AS VARCHAR) FROM dim_date""")
+UNION ALL SELECT 'max_date', CAST(max(full_date) AS VARCHAR) FROM dim_date)
+SELECT option, value, CAST(row_number() OVER (PARTITION BY option ORDER BY
+       CASE WHEN option = 'day' THEN list_position(['Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday', 'Sunday'], value) END,
+       value) AS INTEGER) AS position FROM o""")
     q["ORD5_trip_details_page"] = with_trips(f"""
 , n AS (SELECT count(*) AS c FROM trips)
 SELECT {DETAIL_COLS},
@@ -825,3 +841,12 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id
                      AS rank FROM sims)
 SELECT query_id, id, round(similarity, 4) AS similarity, rank FROM ranked WHERE rank <= 10"""
     return q
+
+
+def build_more() -> dict[str, str]:
+    from ridemart.plans.checks import more_sql
+    from ridemart.plans.catalog import DEMO_WEATHER_FILTER
+    hours = with_star("") + _hourly_where(DEMO_WEATHER_FILTER) + (
+        "SELECT hour_of_day, day_name, CAST(sum(trip_count) AS BIGINT) AS trip_count, "
+        f"{weekday_index('day_name')} AS day_index FROM hourly GROUP BY hour_of_day, day_name")
+    return more_sql(build(), build_extra(), with_star, _features_sql(), hours)
