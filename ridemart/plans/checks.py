@@ -18,7 +18,7 @@ from ridemart.operators import features as FE
 from ridemart.operators import model as M
 from ridemart.operators import quality as Q
 from ridemart.plans.catalog import DEMO_WEATHER_FILTER, QUERIES, WEATHER_MEASURES, rounded
-from ridemart.plans.extra import _md5_number, bronze_text, extracts
+from ridemart.plans.extra import _md5_number, _weather_deduped, bronze_text, extracts
 from ridemart.plans.warehouse import warehouse
 from ridemart.sources import files
 
@@ -72,6 +72,17 @@ def damaged_features(spark: SparkSession, sf: str) -> DataFrame:
     return FE.with_split(FE.feature_table(view.withColumns({c: F.when(key % n != 0, F.col(c)) for c, n in gone.items()})))
 
 
+def fail_mode(spark: SparkSession, sf: str) -> DataFrame:
+    """DQ1: the weather rules in fail mode: what breaks them, and whether the load is aborted."""
+    readings, rules = _weather_deduped(spark, sf), [Q.Rule(r.name, r.condition, Q.FAIL) for r in Q.weather_rules()]
+    try:
+        Q.apply_rules(readings, rules)
+        aborted = False
+    except Q.ExpectationFailed:
+        aborted = True
+    return Q.report(readings, rules).withColumn("aborted", F.lit(aborted))
+
+
 # ---------------------------------------------------------------------------------- model steps
 
 FILLED = ["expected_vs_actual_pickup_minutes_difference", "dispatch_to_arrival_minutes", "journey_urgency"]
@@ -118,6 +129,7 @@ MORE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "DQ4_damaged_parse_report": lambda s, sf: Q.report(damaged_bookings(s, sf), Q.bronze_parse_rules()),
     "DQ6_damaged_key_checks": lambda s, sf: Q.key_checks(
         damaged_fact(s, sf), warehouse(s, sf)["dim_date"], warehouse(s, sf)["dim_zone"]),
+    "DQ1_fail_mode": fail_mode,
     "FLT7_damaged_features": lambda s, sf: damaged_features(s, sf).groupBy("split").agg(
         F.count(F.lit(1)).alias("rows"), F.count("pickup_delay_signal").alias("with_wait"), F.count("journey_urgency").alias("with_urgency"),
         F.count_if(F.col("dispatch_to_arrival_minutes") == 0).alias("arrival_zero"), F.round(F.avg("distance"), 4).alias("avg_distance")),
@@ -149,6 +161,8 @@ def more_sql(base: dict[str, str], extra: dict[str, str], with_star: Callable[[s
         "WITH l AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS b FROM lineitem) "
         + " UNION ALL ".join(f"SELECT '{c}_parses' AS rule, 'expect' AS mode, count(*) AS rows_checked, count(*) - {n} AS passed, "
                              f"{n} AS failed FROM l" for c, n in bad.items()))
+    out["DQ1_fail_mode"] = (f"WITH q AS ({extra['DQ4_weather_quality_report']}) SELECT * REPLACE ('fail' AS mode), "
+                            "(SELECT sum(failed) FROM q) > 0 AS aborted FROM q")
     twice = "CASE WHEN trip_key % 10 = 0 THEN 2 ELSE 1 END"
     two = "CAST(coalesce(sum(2) FILTER (WHERE trip_key % 10 = 0{}), 0) AS BIGINT)"
     gone = "CAST(coalesce(sum({}) FILTER (WHERE {}), 0) AS BIGINT)"

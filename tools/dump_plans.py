@@ -22,8 +22,8 @@ NOTES = {
     "silver_dedup": "Keep-latest per booking id: a partial WindowGroupLimit runs before the hash "
                     "exchange, so each map task forwards at most one row per booking id; the "
                     "future-pickup filter sits on the trip feed before any shuffle.",
-    "fact_lookups": "The fact's dimension lookups are broadcast hash joins against materialized, "
-                    "size-checked dimensions: no exchange at all. Numbering trip_key (not shown) adds "
+    "fact_lookups": "The fact's dimension lookups are broadcast hash joins against materialized "
+                    "dimensions whose file sizes the planner knows: no exchange at all. Numbering trip_key (not shown) adds "
                     "the one range exchange on (date, booking_id).",
     "daily_kpis": "Aggregate first on the fact's date key (partial + final HashAggregate), then "
                   "broadcast-join the small result with dim_date.",
@@ -33,9 +33,9 @@ NOTES = {
                  "TakeOrderedAndProject for the top 15.",
     "features": "Feature view: three broadcast lookups, narrow ReadSchema, engineered columns in "
                 "one projection.",
-    "vector_top_k": "Vector search: corpus rows are scored against a literal chunk of query "
-                    "vectors in a projection (no join); a partial WindowGroupLimit keeps k rows "
-                    "per query per task before the shuffle.",
+    "vector_top_k": "Vector search: shards of corpus rows meet blocks of queries in cells (one matrix "
+                    "product each, k rows per query out); a partial WindowGroupLimit keeps k rows "
+                    "per query per task before the last shuffle.",
 }
 
 
