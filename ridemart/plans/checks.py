@@ -7,20 +7,23 @@ The damage is a rule on keys of the given tables that both engines apply.
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridemart.functions import expr as X
 from ridemart.operators import analytics as A
 from ridemart.operators import features as FE
 from ridemart.operators import model as M
 from ridemart.operators import quality as Q
 from ridemart.plans.catalog import DEMO_WEATHER_FILTER, QUERIES, WEATHER_MEASURES, rounded
-from ridemart.plans.extra import _md5_number, _weather_deduped, bronze_text, extracts
+from ridemart.plans.extra import _md5_number, _weather_deduped, bronze_batch, bronze_text, extracts
 from ridemart.plans.warehouse import warehouse
-from ridemart.sources import files
+from ridemart.session import scratch_path
+from ridemart.sources import files, testdata
 
 # ------------------------------------------------------------------------------ ordered answers
 
@@ -72,6 +75,34 @@ def damaged_features(spark: SparkSession, sf: str) -> DataFrame:
     return FE.with_split(FE.feature_table(view.withColumns({c: F.when(key % n != 0, F.col(c)) for c, n in gone.items()})))
 
 
+def ingest_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC4: rows of the batch bronze with an ingest time, and with the file of the landing folder they came from."""
+    b = spark.read.parquet(bronze_batch(spark, sf))
+    return b.agg(F.count("_ingest_timestamp").alias("with_time"), F.count_if(F.col("_source_file").endswith(".csv")).alias("with_file"),
+                 F.count_if(F.col("_source_file").isNull()).alias("without_file"))
+
+
+def normalised_header(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC5 + FN2: weather with spaces in its column names, normalised, then one total per renamed column."""
+    raw = testdata.weather_bronze(spark, sf).select("date", F.col("loc_id").alias("loc id"), F.col("windspeedKmph").alias("wind speed Kmph"))
+    total = files.normalise_names(raw).agg(F.count("loc_id").alias("loc_id"), F.sum(F.col("wind_speed_Kmph").cast("long")).alias("wind_speed_Kmph"))
+    return total.unpivot([], ["loc_id", "wind_speed_Kmph"], "column_name", "total")
+
+
+def shown_revenue(spark: SparkSession, sf: str) -> DataFrame:
+    """FN20: monthly revenue as display text."""
+    months = QUERIES["AGG3_monthly_revenue"](spark, sf)
+    return months.select("year", "month", X.money("total_revenue").alias("shown"))
+
+
+def replaced_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK3: a table overwritten with another schema is read back with the new columns only."""
+    fact, path = warehouse(spark, sf)["fact_trip"], scratch_path(spark, "checks", uuid4().hex)
+    files.overwrite(fact.select("trip_key", "fare_amount"), path)
+    files.overwrite(fact.groupBy("payment_type").agg(F.count(F.lit(1)).alias("trips")), path)
+    return spark.read.parquet(path).select("*")
+
+
 def fail_mode(spark: SparkSession, sf: str) -> DataFrame:
     """DQ1: the weather rules in fail mode: what breaks them, and whether the load is aborted."""
     readings, rules = _weather_deduped(spark, sf), [Q.Rule(r.name, r.condition, Q.FAIL) for r in Q.weather_rules()]
@@ -130,6 +161,10 @@ MORE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "DQ6_damaged_key_checks": lambda s, sf: Q.key_checks(
         damaged_fact(s, sf), warehouse(s, sf)["dim_date"], warehouse(s, sf)["dim_zone"]),
     "DQ1_fail_mode": fail_mode,
+    "SRC4_ingest_metadata": ingest_metadata,
+    "SRC5_normalised_header": normalised_header,
+    "FN20_shown_revenue": shown_revenue,
+    "SNK3_replaced_schema": replaced_schema,
     "FLT7_damaged_features": lambda s, sf: damaged_features(s, sf).groupBy("split").agg(
         F.count(F.lit(1)).alias("rows"), F.count("pickup_delay_signal").alias("with_wait"), F.count("journey_urgency").alias("with_urgency"),
         F.count_if(F.col("dispatch_to_arrival_minutes") == 0).alias("arrival_zero"), F.round(F.avg("distance"), 4).alias("avg_distance")),
@@ -163,6 +198,12 @@ def more_sql(base: dict[str, str], extra: dict[str, str], with_star: Callable[[s
                              f"{n} AS failed FROM l" for c, n in bad.items()))
     out["DQ1_fail_mode"] = (f"WITH q AS ({extra['DQ4_weather_quality_report']}) SELECT * REPLACE ('fail' AS mode), "
                             "(SELECT sum(failed) FROM q) > 0 AS aborted FROM q")
+    out["SRC4_ingest_metadata"] = ("SELECT (SELECT count(*) FROM lineitem) + (SELECT count(*) FROM events) AS with_time, "
+                                   "(SELECT count(*) FROM lineitem) + (SELECT count(*) FROM events) AS with_file, CAST(0 AS BIGINT) AS without_file")
+    out["SRC5_normalised_header"] = ("SELECT 'loc_id' AS column_name, count(l_suppkey) AS total FROM lineitem UNION ALL "
+                                     "SELECT 'wind_speed_Kmph', CAST(sum(l_linenumber * 5) AS BIGINT) FROM lineitem")
+    out["FN20_shown_revenue"] = f"SELECT year, month, '£' || format('{{:,.2f}}', total_revenue) AS shown FROM ({base['AGG3_monthly_revenue']})"
+    out["SNK3_replaced_schema"] = with_star("SELECT payment_type, count(*) AS trips FROM fact_trip GROUP BY 1")
     twice = "CASE WHEN trip_key % 10 = 0 THEN 2 ELSE 1 END"
     two = "CAST(coalesce(sum(2) FILTER (WHERE trip_key % 10 = 0{}), 0) AS BIGINT)"
     gone = "CAST(coalesce(sum({}) FILTER (WHERE {}), 0) AS BIGINT)"
