@@ -26,7 +26,7 @@ from ridemart.llm.common import LOWER, chunks, read_table, stored
 
 #: Words remembered per Python worker with their ids; beyond it the memory starts anew (results don't
 #: change).
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 _LATIN = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]"
 _WORD = re.compile(f"{_LATIN}+")
 #: Words of Latin letters, each with at most one comma or full stop, between spaces and line ends.
