@@ -54,7 +54,7 @@ PATTERNS = {
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: No entity is without one of these.
-HINT = rf"[\d@]|(?i:password|passwd|secret|token|api_key)|(?:{_ALL_TITLES})\.? \p{{Lu}}"
+HINT = rf"[\d@]|A(?:KI|SI)A|(?i:password|passwd|secret|token|api_key)|(?:{_ALL_TITLES})\.? \p{{Lu}}"
 
 
 def _typed(raw: Column) -> Column:
