@@ -7,7 +7,8 @@ code, card numbers their first digit and a right check digit, names their title'
 script of their letters. Spellings of one value (letter case of an address, separators of a number)
 share a surrogate, everywhere in the corpus. Collisions are checked over the whole corpus: of two
 values with one surrogate, and where a surrogate is itself a value that occurs, the later one draws
-again until none is left, so different values stay different.
+again until none is left, so different values stay different. After some attempts a draw gets longer by
+a letter, digit or syllable each time (``PATIENCE``), so there are always enough surrogates.
 
 A text's entities are looked up by a digest of the text, so copies of a text are handled once and texts
 without entities are never shuffled.
@@ -18,6 +19,9 @@ empty table gives no rows; other columns stay as they are, whatever their names,
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +42,14 @@ NAMES[("n", "cyrillic")] = [x for p in zip(NAMES["m", "cyrillic"], NAMES["f", "c
 SYLLABLES = {"latin": "bal den fer gor hal kim lan mor nev pol ras sel tan ver wil zan".split(),
              "cyrillic": "бал ден фер гор хал ким лан мор нев пол рас сел тан вер лиз зан".split()}
 
+#: The decimal digits of all scripts, ten by ten.
+DIGITS = "".join(chr(z + k) for z in range(sys.maxunicode) if unicodedata.decimal(chr(z), 1) == 0 for k in range(10))
+#: What stands for the characters of a secret without letters and digits.
+SYMBOLS = "!#$%&*+-./:=?@^_~"
+#: Attempts of a type before its draws get longer; an address keeps its four numbers for longest.
+PATIENCE = {"name": 1, "ipv4": 16}
+PATIENCE_ELSE = 6
+
 _ALL_TITLES = "|".join(TITLES.values())
 #: Types in the order in which they are tried, with their patterns.
 PATTERNS = {
@@ -83,7 +95,14 @@ def _pick(options: str, n: Column) -> Column:
 
 
 def _letters(text: Column, stream: Column, keep: Column | None = None) -> Column:
-    """Each letter and digit replaced by one of its class and script; the first ``keep`` stay."""
+    """Each letter and digit replaced by one of its class and script; the first ``keep`` stay. A text without any
+    has its symbols replaced."""
+    bare = ~text.rlike(r"[\p{L}\p{Nd}]")
+
+    def digit(ch: Column, n: Column) -> Column:
+        at = F.instr(F.lit(DIGITS), ch) - 1
+        return F.substring(F.lit(DIGITS), at - at % 10 + F.pmod(n, F.lit(10)) + 1, F.lit(1))
+
     def one(ch: Column, i: Column) -> Column:
         n = _draw(stream, i)
         new = (F.when(ch.rlike("[0-9]"), _pick("0123456789", n)).when(ch.rlike("[a-z]"), _pick("abcdefghijklmnopqrstuvwxyz", n))
@@ -93,7 +112,9 @@ def _letters(text: Column, stream: Column, keep: Column | None = None) -> Column
                .when(ch.rlike(r"\p{IsGreek}"), F.when(ch.rlike(r"\p{Lu}"), _pick("ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ", n))
                      .otherwise(_pick("αβγδεζηθικλμνξοπρστυφχψω", n)))
                .when(ch.rlike(r"\p{Lu}"), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", n))
-               .when(ch.rlike(r"\p{L}"), _pick("abcdefghijklmnopqrstuvwxyz", n)).otherwise(ch))
+               .when(ch.rlike(r"\p{L}"), _pick("abcdefghijklmnopqrstuvwxyz", n))
+               .when(ch.rlike(r"\p{Nd}"), F.when(F.instr(F.lit(DIGITS), ch) > 0, digit(ch, n)).otherwise(_pick("0123456789", n)))
+               .when(bare, _pick(SYMBOLS, n)).otherwise(ch))
         return new if keep is None else F.when(i < keep, ch).otherwise(new)
 
     return F.array_join(F.transform(F.split(text, ""), one), "")
@@ -113,9 +134,17 @@ def _octets(stream: Column, attempt: Column) -> Column:
                               for i in range(4)])
 
 
-def _person(value: Column, stream: Column) -> Column:
+def _more(seed: Column, kind: Column, attempt: Column) -> Column:
+    """Hex digits that a draw is longer by: none until the type's patience ends, then one more with each attempt."""
+    wait = F.lit(PATIENCE_ELSE)
+    for k, n in PATIENCE.items():
+        wait = F.when(kind == k, n).otherwise(wait)
+    return F.substring(F.sha2(F.concat(seed, F.lit("*")).cast("binary"), 512), F.lit(1), F.greatest(F.lit(0), attempt - wait))
+
+
+def _person(value: Column, stream: Column, more: Column) -> Column:
     """The title, a given name of its gender if the name has two parts, and a family name, all in the
-    script of the name."""
+    script of the name; one more syllable for each hex digit of ``more``."""
     title, rest = F.regexp_extract(value, rf"\A({_ALL_TITLES})", 1), F.regexp_replace(value, rf"\A(?:{_ALL_TITLES})\.? ", "")
     script = F.when(rest.rlike(r"\p{IsCyrillic}"), F.lit("cyrillic")).otherwise(F.lit("latin"))
     gender = F.when(title.rlike(rf"\A(?:{TITLES['m']})\z"), F.lit("m")).when(
@@ -130,37 +159,50 @@ def _person(value: Column, stream: Column) -> Column:
         return out
 
     given = chosen(NAMES, F.concat_ws("/", gender, script), 0)
-    family = F.initcap(F.concat(*[chosen(SYLLABLES, script, i) for i in (3, 5, 9, 11)]))
+
+    def syllable(script: str):
+        return lambda h: F.element_at(F.array(*[F.lit(x) for x in SYLLABLES[script]]),
+                                      F.conv(F.nullif(h, F.lit("")), 16, 10).cast("int") + 1)
+
+    added = {k: F.array_join(F.transform(F.split(more, ""), syllable(k)), "") for k in SYLLABLES}
+    family = F.initcap(F.concat(*[chosen(SYLLABLES, script, i) for i in (3, 5, 9, 11)],
+                                F.when(script == "cyrillic", added["cyrillic"]).otherwise(added["latin"])))
     return F.when(rest.contains(" "), F.concat_ws(" ", title, given, family)).otherwise(F.concat_ws(" ", title, family))
 
 
 def _surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     seed = F.concat_ws("\u0001", F.lit(key), kind, value, attempt.cast("string"))
     stream = F.concat(F.sha2(seed.cast("binary"), 512), F.sha2(F.concat(seed, F.lit("+")).cast("binary"), 512))
+    more = _more(seed, kind, attempt)
+    digits, letters = F.translate(more, "abcdef", "012345"), F.translate(more, "0123456789", "ghijklmnop")
+    groups = F.regexp_replace(digits, r"(\d)", ".$1")
     at = F.instr(value, "@")
     host_end = F.length(value) - F.length(F.substring_index(value, ".", -1))
     mail = F.concat(_letters(F.substring(value, F.lit(1), host_end), stream),
                     F.substring(value, host_end + 1, F.length(value)))
-    return (F.when(kind == "email", F.when(at > 0, mail))
-            .when(kind == "ipv4", _octets(stream, attempt))
-            .when(kind == "card", _luhn(_letters(value, stream, F.lit(1))))
+    return (F.when(kind == "email", F.when(at > 0, F.concat(letters, mail)))
+            .when(kind == "ipv4", F.concat(_octets(stream, attempt), groups))
+            .when(kind == "card", _luhn(F.concat(_letters(value, stream, F.lit(1)), digits)))
             # a canonical phone number starts with its country code: keep the digits beyond ten
-            .when(kind == "phone", _letters(value, stream, F.greatest(F.lit(0), F.least(F.lit(3), F.length(value) - 10))))
-            .when(kind == "iban", _letters(value, stream, F.lit(2)))
-            .when(kind == "awskey", _letters(value, stream, F.lit(4)))
-            .when(kind == "name", _person(value, stream))
-            .when(kind == "hexkey", F.array_join(F.transform(F.split(value, ""), lambda ch, i: F.when(
-                ch.rlike("[0-9]"), _pick("0123456789", _draw(stream, i))).otherwise(_pick("abcdef", _draw(stream, i)))), ""))
-            .otherwise(_letters(value, stream)))
+            .when(kind == "phone", F.concat(_letters(value, stream, F.greatest(F.lit(0), F.least(F.lit(3), F.length(value) - 10))), digits))
+            .when(kind == "ssn", F.concat(_letters(value, stream), digits))
+            .when(kind == "iban", F.concat(_letters(value, stream, F.lit(2)), digits))
+            .when(kind == "awskey", F.concat(_letters(value, stream, F.lit(4)), digits))
+            .when(kind == "name", _person(value, stream, more))
+            .when(kind == "hexkey", F.concat(F.array_join(F.transform(F.split(value, ""), lambda ch, i: F.when(
+                ch.rlike("[0-9]"), _pick("0123456789", _draw(stream, i))).otherwise(_pick("abcdef", _draw(stream, i)))), ""), more))
+            .otherwise(F.concat(_letters(value, stream), letters)))
 
 
 def _formatted(kind: Column, raw: Column, value: Column) -> Column:
-    """A surrogate of a canonical value in the format of one occurrence: separators and letter case."""
+    """A surrogate of a canonical value in the format of one occurrence: separators and letter case. What it has
+    beyond the places of the occurrence follows at its end."""
     def place(ch: Column, i: Column) -> Column:
         before = F.length(F.regexp_replace(F.substring(raw, F.lit(1), i), r"[^\p{L}\p{N}]", ""))
         return F.when(ch.rlike(r"[\p{L}\p{N}]"), F.substring(value, before + 1, F.lit(1))).otherwise(ch)
 
-    spread = F.array_join(F.transform(F.split(raw, ""), place), "")
+    places = F.length(F.regexp_replace(raw, r"[^\p{L}\p{N}]", ""))
+    spread = F.concat(F.array_join(F.transform(F.split(raw, ""), place), ""), F.substring(value, places + 1, F.length(value)))
     return (F.when(kind.isin("card", "ssn", "phone", "iban"), spread)
             .when((kind == "email") & (raw == F.upper(raw)), F.upper(value))
             .when((kind == "name") & raw.contains(". "), F.regexp_replace(value, rf"\A({_ALL_TITLES}) ", "$1. "))
