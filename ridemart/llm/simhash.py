@@ -20,7 +20,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridemart.llm.common import LOWER, raw_texts, read_table, stored
@@ -46,17 +46,23 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): fp holds the 64 bits as a signed long."""
+                 text_col: str = "text", digest: bool = False) -> DataFrame:
+    """(doc_id, fp): fp holds the 64 bits as a signed long. With ``digest`` also that of the text."""
     def run(batches):
         for b in batches:
             fps = np.array([fingerprint(t, shingle) for t in raw_texts(b.column(1).cast(pa.string()))],
                            np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fps.view(np.int64))],
-                                             names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fps.view(np.int64)), *b.columns[2:]],
+                                             names=["doc_id", "fp", *b.schema.names[2:]])
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-            .mapInArrow(run, "doc_id long, fp long"))
+    more = [_digest(text_col).alias("digest")] if digest else []
+    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"), *more)
+            .mapInArrow(run, "doc_id long, fp long" + ", digest string" * digest))
+
+
+def _digest(text_col: str) -> Column:
+    """Tells texts apart, and a null from every text."""
+    return F.coalesce(F.md5(F.col(text_col).cast("string").cast("binary")), F.lit(""))
 
 
 def _blocks(bits: list[int], count: int) -> list[list[int]]:
@@ -181,24 +187,36 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 3, id
                     text_col: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) per document row; component_id is the least id reachable by links."""
     prints = stored(fingerprints(docs, shingle, id_col, text_col), "simhash-fps")
-    reps = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-reps")
-    roots = stored(components(links(reps.select("fp"), max_distance)), "simhash-roots")
-    linked = reps.join(roots, reps.fp == roots.node, "left").select(
-        "fp", "rep", F.coalesce("root", "fp").alias("root"))
+    linked = _rooted(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), max_distance)
     least = stored(linked.groupBy("root").agg(F.min("rep").alias("component_id")), "simhash-least")
     named = stored(linked.join(least, "root").select("fp", "component_id"), "simhash-named")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def _rooted(reps: DataFrame, max_distance: int) -> DataFrame:
+    """``reps`` (distinct fp, rep) with the root, the least fingerprint of the component."""
+    reps = stored(reps, "simhash-reps")
+    roots = stored(components(links(reps.select("fp"), max_distance)), "simhash-roots")
+    return reps.join(roots, reps.fp == roots.node, "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+
+
 def one_per_group(docs: DataFrame, shingle: int = 3, max_distance: int = 3, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stand for their group: of each component the row with the least id,
-    once. Rows with a null id stay only if no id of their group is known, one row of all such."""
-    keep = (near_duplicates(docs, shingle, max_distance, id_col, text_col)
-            .select(F.col("component_id").alias("_keep_id")).distinct())
-    mine = docs.join(keep, docs[id_col].eqNullSafe(F.col("_keep_id")), "left_semi")
-    order = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col), text_col)
-    return mine.withColumn("_keep_rank", F.row_number().over(order)).where("_keep_rank = 1").drop("_keep_rank")
+    """The rows of ``docs`` that stand for their group: exactly one row of each component, the one with the
+    least id, of several such that with the least text digest. A null id comes after all known ones."""
+    prints = fingerprints(docs, shingle, id_col, text_col, digest=True)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "digest")).alias("rep")
+    # id and digest decide the text, so they decide the component too: the pairs are distinct
+    keep = stored(_rooted(prints.groupBy("fp").agg(first), max_distance).groupBy("root").agg(F.min("rep").alias("rep"))
+                  .select(F.col("rep.doc_id").alias("_keep_id"), F.col("rep.digest").alias("_keep_digest")), "simhash-keep")
+    marked = docs.withColumn("_keep_text", _digest(text_col))
+    mine = marked.join(keep, marked[id_col].cast("long").eqNullSafe(F.col("_keep_id"))
+                       & (F.col("_keep_text") == F.col("_keep_digest")), "left_semi")
+    # rows with one id and text are left; maps have no order and no hash
+    ordered = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    order = Window.partitionBy(F.col(id_col).cast("long"), "_keep_text").orderBy(F.xxhash64(*ordered))
+    return (mine.withColumn("_keep_rank", F.row_number().over(order)).where("_keep_rank = 1")
+            .drop("_keep_rank", "_keep_text"))
 
 
 def op7_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

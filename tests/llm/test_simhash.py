@@ -67,3 +67,16 @@ def test_odd_rows(spark, odd, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.one_per_group(empty).count() == 0
     nameless = odd.where("doc_id is null")
     assert simhash.one_per_group(nameless.union(nameless)).count() == 1
+
+
+def test_one_row_of_every_group_whatever_its_id(spark):
+    """Null ids and one id with several texts: groups are told apart by their texts."""
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    lone = [" ".join(f"{w}{i}" for w in words) for i in range(6)]
+    rows = [(None, lone[0], 1), (None, lone[0], 2), (None, lone[1], 1), (None, lone[2].upper(), 1), (None, None, 1), (None, "", 1),
+            (9, lone[2], 1), (None, lone[2], 1), (7, lone[3], 1), (7, lone[4], 1), (7, lone[5], 1), (8, lone[5], 1), (7, lone[5], 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n long")
+    got = [(r.doc_id, (r.text or "").lower()) for r in simhash.one_per_group(df).collect()]
+    assert sorted(got, key=str) == sorted([(None, lone[0]), (None, lone[1]), (9, lone[2]), (None, ""), (7, lone[3]), (7, lone[4]),
+                                           (7, lone[5])], key=str)
+    assert len({brute_print(t) for _, t in got}) == len(got) == len({brute_print(r[1]) for r in rows})
