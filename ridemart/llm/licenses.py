@@ -1,12 +1,14 @@
 """Operator 9, license scan by an exact set-similarity join.
 
-Texts are cut into overlapping blocks of words. A template matches a block if the block holds at least
-``threshold`` of the template's different words. Words are ordered by how often the corpus has them,
-rarest first (one count over all documents). A template of m words that needs k of them must share
-one of its first m - k + 1 words with the block (prefix filter); a block with fewer than k words is
-skipped (length filter); from the places of a shared word in both orders follows the most that can
-still match (positional filter); what remains is counted exactly. Phrases are templates that need
-all their words; an exact check then finds the places where the words stand consecutively.
+A template matches a text if some window of the text holds at least ``threshold`` of the template's
+different words. Windows start at every word and have ``BLOCK`` words, or twice the template's words if
+that is more, so every template can match. Words are ordered by how often the corpus has them, rarest
+first (one count over all documents). A template of m words that needs k of them must share one of its
+first m - k + 1 words with the text (prefix filter); a text with fewer than k template words is skipped
+(length filter); from the places of a shared word in both orders follows the most that can still match
+(positional filter). What remains is counted exactly, over the text and then in the windows between its
+template words. Phrases are templates that need all their words; an exact check then finds the places
+where the words stand consecutively.
 
 Templates are a parameter of bounded size (``MAX_TEMPLATE_WORDS``), so they are sent to all tasks.
 
@@ -28,7 +30,8 @@ from pyspark.sql.types import StructType
 
 from ridemart.llm.common import WORDS, chunks, map_rows, read_table, texts_of
 
-BLOCK, STRIDE = 64, 32
+#: Words of a window, and from one window to the next.
+BLOCK, STRIDE = 64, 1
 MAX_TEMPLATE_WORDS = 100_000
 
 
@@ -38,22 +41,41 @@ class Template(NamedTuple):
     phrase: bool = False
 
 
-#: The base phrases, then opening sentences of common licenses and notices.
+#: The base phrases, then sentences of common licenses and notices; each matches alone, so a
+#: part of a license is found without its opening.
 TEMPLATES = (
     Template("mit", "mit license", True),
     Template("apache", "apache license", True),
     Template("gpl", "general public license", True),
     Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
                     "and associated documentation files"),
+    Template("mit", "to deal in the Software without restriction, including without limitation the rights to use, copy, "
+                    "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
+    Template("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial "
+                    "portions of the Software"),
+    Template("mit", 'The Software is provided "as is", without warranty of any kind, express or implied, including but not '
+                    "limited to the warranties of merchantability, fitness for a particular purpose and noninfringement"),
     Template("apache", "Licensed under the Apache License, Version 2.0"),
+    Template("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the "
+                       "License at"),
+    Template("apache", 'Unless required by applicable law or agreed to in writing, software distributed under the License is '
+                       'distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND'),
     Template("gpl", "licensed under the GNU General Public License, version 3"),
     Template("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the "
                     "GNU General Public License as published by the Free Software Foundation"),
+    Template("gpl", "You should have received a copy of the GNU General Public License along with this program"),
     Template("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted "
                     "provided that the following conditions are met"),
+    Template("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+                    "following disclaimer"),
+    Template("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+                    "the following disclaimer in the documentation and/or other materials provided with the distribution"),
+    Template("bsd", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+                    "promote products derived from this software without specific prior written permission"),
     Template("cc-by-nc", "Licensed under CC BY-NC 4.0"),
     Template("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     Template("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    Template("mpl", "If a copy of the MPL was not distributed with this file, You can obtain one at"),
 )
 
 
@@ -91,6 +113,7 @@ class TemplateIndex:
         self.words = [[self.rank[w] for w in words_of(t.text.encode())] for t in templates]
         self.need = [len(s) if t.phrase else math.ceil(threshold * len(s) - 1e-9)
                      for t, s in zip(templates, self.sorted)]
+        self.window = [max(BLOCK, 2 * len(w)) for w in self.words]
         self.prefix: dict[int, list[tuple[int, int]]] = {}
         for i, (s, k) in enumerate(zip(self.sorted, self.need)):
             for place, r in enumerate(s[:len(s) - k + 1] if s else []):
@@ -99,7 +122,7 @@ class TemplateIndex:
         self.starts[list(self.prefix)] = True
 
     def join(self, block: list[int]) -> list[tuple[int, float]]:
-        """(template, containment) of the templates that meet their threshold in a block of sorted
+        """(template, containment) of the templates that meet their threshold in a text of sorted
         different ranks."""
         have, seen, out = set(block), set(), []
         for j, r in enumerate(block):
@@ -114,30 +137,41 @@ class TemplateIndex:
                     out.append((t, both / len(s)))
         return out
 
+    def most(self, t: int, ranks: np.ndarray) -> int:
+        """Most different words of template ``t`` in one of its windows."""
+        at = np.flatnonzero(np.isin(ranks, self.sorted[t]))
+        held, first, best = dict.fromkeys(self.sorted[t], 0), 0, 0
+        different, words, places = 0, ranks[at].tolist(), at.tolist()
+        for r, p in zip(words, places):
+            different += not held[r]
+            held[r] += 1
+            while p - places[first] >= self.window[t]:
+                held[words[first]] -= 1
+                different -= not held[words[first]]
+                first += 1
+            best = max(best, different)
+        return best
+
     def scan(self, ranks: np.ndarray):
         """(places of phrases as (word, label), labels of matching templates, largest containment)."""
-        hits = np.flatnonzero(self.starts[ranks])
         places: set[tuple[int, str]] = set()
         labels: set[str] = set()
         best = 0.0
-        if not len(hits):
+        if not self.starts[ranks].any():
             return places, labels, best
-        last = max(0, -(-(len(ranks) - BLOCK) // STRIDE))
-        blocks = np.unique(np.concatenate([np.minimum(hits // STRIDE, last),
-                                           np.clip(hits // STRIDE - 1, 0, last)]))
-        for b in blocks.tolist():
-            part = ranks[b * STRIDE:b * STRIDE + BLOCK]
-            for t, share in self.join(np.unique(part[part > 0]).tolist()):
-                if self.templates[t].phrase:
-                    w = self.words[t]
-                    at = np.flatnonzero(part[:len(part) - len(w) + 1] == w[0])
-                    for k in range(1, len(w)):
-                        at = at[part[at + k] == w[k]]
-                    if not len(at):
-                        continue
-                    places.update((b * STRIDE + int(p), self.templates[t].label) for p in at)
-                labels.add(self.templates[t].label)
-                best = max(best, share)
+        for t, _ in self.join(np.unique(ranks[ranks > 0]).tolist()):
+            label, w = self.templates[t].label, self.words[t]
+            if self.templates[t].phrase:
+                at = np.flatnonzero(ranks[:max(0, len(ranks) - len(w) + 1)] == w[0])
+                for k in range(1, len(w)):
+                    at = at[ranks[at + k] == w[k]]
+                found, need = len(self.sorted[t]) if len(at) else 0, 1
+                places.update((int(p), label) for p in at)
+            else:
+                found, need = self.most(t, ranks), self.need[t]
+            if found >= need:
+                labels.add(label)
+                best = max(best, found / len(self.sorted[t]))
         return places, labels, best
 
 
@@ -151,8 +185,6 @@ def scan_licenses(docs: DataFrame, templates: Sequence[Template] = TEMPLATES, th
     vocabulary = {w for t in templates for w in words_of(t.text.encode())}
     if sum(len(words_of(t.text.encode())) for t in templates) > MAX_TEMPLATE_WORDS:
         raise ValueError(f"templates have more than {MAX_TEMPLATE_WORDS} words: scan in parts")
-    if any(t.phrase and len(words_of(t.text.encode())) > STRIDE for t in templates):
-        raise ValueError(f"a phrase has more than {STRIDE} words")
     index = TemplateIndex(templates, word_frequencies(docs, vocabulary, text_col), threshold)
     kinds = [pa.int64(), pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string())])),
              pa.list_(pa.string()), pa.float64()]

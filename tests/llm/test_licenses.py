@@ -75,3 +75,30 @@ def test_odd_rows(spark, odd, empty):
     assert [(p.word, p.label) for p in got[8].places] == [(63, "mit"), (65, "gpl"), (68, "mit")]
     assert got[2].n_words == 0 and got[2].labels == [] and got[2].score == 0
     assert lic.scan_licenses(empty).count() == 0
+
+
+def scanned(text, templates):
+    index = lic.TemplateIndex(templates, {w: 1 for t in templates for w in lic.words_of(t.text.encode())}, 0.8)
+    import numpy as np
+    return index.scan(np.array([index.rank.get(w, 0) for w in lic.words_of(text.encode())], np.int64))
+
+
+def test_long_templates_and_every_offset():
+    """Templates of any length match at every offset, also with other words between theirs."""
+    for n in (20, 54, 65, 300):
+        t = [lic.Template("x", " ".join(f"w{i}" for i in range(n))), lic.Template("p", " ".join(f"w{i}" for i in range(n)), True)]
+        for offset in range(0, 40):
+            got = scanned("zz " * offset + t[0].text + " zz" * 90, t)
+            assert got == ({(offset, "p")}, {"x", "p"}, 1.0)
+    spread = " ".join(f"w{i} zz zz" for i in range(20))
+    assert all(scanned("zz " * k + spread + " zz" * 90, [lic.Template("x", " ".join(f"w{i}" for i in range(20)))])[1:] == ({"x"}, 1.0)
+               for k in range(64))
+    far = " ".join(f"w{i}" + " zz" * 5 for i in range(20))
+    assert scanned(far, [lic.Template("x", " ".join(f"w{i}" for i in range(20)))])[1:] == (set(), 0.0)
+
+
+def test_parts_without_the_opening():
+    got = {x.label for x in lic.TEMPLATES if not x.phrase and scanned("so " + x.text + " then", lic.TEMPLATES)[1] >= {x.label}}
+    assert got == {x.label for x in lic.TEMPLATES}
+    assert "mit" in scanned("the above copyright notice and this permission notice shall be included in all copies or "
+                            "substantial portions of the Software", lic.TEMPLATES)[1]
