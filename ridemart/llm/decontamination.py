@@ -8,7 +8,8 @@ A document lies in one shard, so no row is shuffled. The benchmark is searched i
 size, one pass over the documents each.
 
 Defined results: a null or empty text has no words and is clean; an item without words matches
-nothing; items with the same id count once; repeated rows give repeated rows; empty tables give no
+nothing; items with the same id count once; an item with a null id gives spans and matches and counts
+as an item, but has no place in the list of ids; repeated rows give repeated rows; empty tables give no
 rows or clean rows; other columns are kept by ``drop_contaminated`` and ignored elsewhere.
 """
 
@@ -32,7 +33,7 @@ _PACK = 3  # words in one sort key, of 21 bits each: more than BLOCK_WORDS value
 class TestSuffixes:
     """The windows of a block of items: word ids, and packed keys for the binary search."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int):
         self.window, self.names = window, [name for name, _ in items]
         self.ids: dict[bytes, int] = {}
         rows, owner, place, size = [], [], [], []
@@ -119,13 +120,13 @@ def _merged(starts: np.ndarray, ends: np.ndarray) -> list[list[int]]:
 
 
 def _item_blocks(benchmark: DataFrame, item_col: str, text_col: str, limit: int
-                 ) -> Iterator[list[tuple[str, list[bytes]]]]:
+                 ) -> Iterator[list[tuple[str | None, list[bytes]]]]:
     """Items in blocks of about ``limit`` words; one block at a time is held."""
     block, size = [], 0
     rows = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"))
     for r in rows.toLocalIterator():
         words = (r.t or "").encode().translate(WORDS).split()
-        if r.i is None or not words:
+        if not words:
             continue
         block.append((r.i, words))
         size += len(words)
@@ -142,7 +143,7 @@ _FOUND = "n_words long, spans array<array<long>>, items array<string>, matches a
 def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text",
                  item_col: str = "item_id", block_words: int = BLOCK_WORDS) -> DataFrame:
     """(row, n_words, spans, items, matches): row holds all columns of ``docs``; spans are the hit word
-    ranges [from, to); items the item ids with an occurring window, sorted; matches the longest
+    ranges [from, to); items the known item ids with an occurring window, sorted; matches the longest
     verbatim matches with their places."""
     spark = docs.sparkSession
     found_type = StructType.fromDDL(_FOUND)
@@ -178,7 +179,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_c
                         s, w = where[a:b] - base[d], which[a:b]
                         owner, place, size = tests.owner[w], tests.place[w], tests.size[w]
                         out[1].append(_merged(s, s + size))
-                        out[2].append(sorted({tests.names[o] for o in owner.tolist()}))
+                        out[2].append(sorted({tests.names[o] for o in owner.tolist()} - {None}))
                         longest: list[list] = []
                         for o, _, x, p, k in sorted(zip(owner.tolist(), (s - place).tolist(), s.tolist(),
                                                         place.tolist(), size.tolist())):
@@ -216,15 +217,16 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_c
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no window of any item stands."""
-    return find_matches(docs, benchmark, window, text_col).where(F.size("items") == 0).select("row.*")
+    return find_matches(docs, benchmark, window, text_col).where(F.size("spans") == 0).select("row.*")
 
 
 def op6_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_matches(docs, read_table(spark, sf_dir, "benchmark"))
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s[1] - s[0])
+    nameless = F.exists("matches", lambda m: m["item"].isNull()).cast("long")
     return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", hit.alias("n_hit"),
-                        F.size("items").cast("long").alias("n_items"),
+                        (F.size("items").cast("long") + nameless).alias("n_items"),
                         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
                         (hit > 0).alias("contaminated"))
 

@@ -61,3 +61,23 @@ def test_longest_match_and_shard_borders(spark):
     got = {r.row.doc_id: r for r in dc.find_matches(docs.coalesce(1), bench).collect()}
     assert got[1]["items"] == got[2]["items"] == []  # neighbours in a shard are not one text
     assert [(m.item, m.doc_start, m.item_start, m.words) for m in got[3].matches] == [("1", 2, 0, 29)]
+
+
+def test_items_without_id_count(spark, tmp_path):
+    """Windows of null-id items are hits as in the SQL, alone and beside known items, in one and many blocks."""
+    item = [" ".join(f"{c}{i}" for i in range(12)) for c in "abc"]
+    docs = [(1, f"so {item[0]} then"), (2, f"{item[0]} and {item[1]}"), (3, f"{item[1]} only"), (4, "clean"), (5, f"{item[0]} {item[2]}")]
+    bench = spark.createDataFrame([(None, item[0]), ("k", item[1]), (None, item[2])], "item_id string, text string")
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    want = set(con.execute(dc.OP6_SQL).fetchall())
+    got = {tuple(r) for r in dc.op6_benchmark_decontamination(spark, str(tmp_path)).collect()}
+    assert got == want and {g[0] for g in got if g[-1]} == {1, 2, 3, 5}
+    assert [r.doc_id for r in dc.drop_contaminated(docs, bench).collect()] == [4]
+    many = {r.row.doc_id: r for r in dc.find_matches(docs, bench, block_words=4).collect()}
+    assert {i: (bool(r.spans), r["items"]) for i, r in many.items()} == {
+        1: (True, []), 2: (True, ["k"]), 3: (True, ["k"]), 4: (False, []), 5: (True, [])}
