@@ -53,8 +53,10 @@ def estimate(codes: np.ndarray, length: np.ndarray, inner: np.ndarray, q: np.nda
     signs = np.unpackbits(codes, axis=1, count=d).astype(np.float32) * np.float32(2) - np.float32(1)
     dot = (signs @ rq.T.astype(np.float32)).astype(np.float64) / np.sqrt(d)
     shift = offset[:, None] + (q @ centre)[None, :] - centre @ centre
-    est = dot * (length / inner)[:, None] + shift
-    spread = length * np.sqrt(np.maximum(0.0, 1 - inner ** 2)) / (inner * np.sqrt(max(1, d - 1)))
+    # a row that is the centre has residual and inner product 0: the shift is its cosine
+    scale = np.divide(length, inner, out=np.zeros(len(length)), where=inner > 0)
+    est = dot * scale[:, None] + shift
+    spread = scale * np.sqrt(np.maximum(0.0, 1 - inner ** 2)) / np.sqrt(max(1, d - 1))
     return est, epsilon * spread[:, None] * np.linalg.norm(rq, axis=1)[None, :] + 1e-6
 
 

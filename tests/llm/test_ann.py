@@ -60,3 +60,12 @@ def test_odd_vectors(spark):
     assert sorted(got) == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 2, 1.0), (0, 4, 10, 0.0)]
     assert ann.search(df.limit(0), df.limit(0)).count() == 0
     assert ann.search(df, df.limit(0)).count() == 0
+
+
+def test_copies_of_one_vector(spark):
+    """All rows are the centre: the nearest are the least ids, with cosine 1."""
+    df = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(8)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(df, df.where("vec_id in (0, 5)"), k=3).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    assert got == {0: {1: (1, 1.0), 2: (2, 1.0), 3: (3, 1.0)}, 5: {1: (0, 1.0), 2: (1, 1.0), 3: (2, 1.0)}}
