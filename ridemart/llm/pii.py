@@ -61,10 +61,19 @@ PATTERNS = {
     "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\d+])\+\d{7,15}(?!\d)",
+    # with a plus sign, with brackets, or in groups that are no thousands, years or decimals
+    "phone": r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\d+])\+\d{7,15}(?!\d)"
+             r"|(?<![\d+])\(\d{2,4}\)[ .-]\d{3,4}[ .-]?\d{3,4}(?!\d)"
+             r"|(?<![\d+])(?<!\d[.,])(?:\d{3}[ .-]\d{3}[ .-]\d{4}|\d{3}[ -]\d{4}[ -]\d{4}|\d{2}-\d{4}-\d{4}|\d{3}-\d{7}"
+             r"|0\d{1,3}(?:[ -]\d{3,4}[ -]?|\.\d{3,4}\.)\d{3,4})(?!\d|[.,]\d)",
     "name": rf"(?<!\p{{L}})(?:{_ALL_TITLES})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: The same; group 1 takes part where a match is a secret.
+ENTITY_SECRET = "|".join(f"({p})" if k == "secret" else f"(?:{p})" for k, p in PATTERNS.items())
+#: What is looked for in digits whose Luhn sum is wrong: card numbers in their usual groups, and all other types.
+INNER = "|".join(f"(?:{p})" for p in ({k: p for k, p in PATTERNS.items() if k != "secret"} | {
+    "card": r"(?<!\d)(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5})(?!\d)"}).values())
 #: No entity is without one of these.
 HINT = rf"[\d@]|A(?:KI|SI)A|(?i:password|passwd|secret|token|api_key)|(?:{_ALL_TITLES})\.? \p{{Lu}}"
 
@@ -129,6 +138,19 @@ def _luhn(digits: Column) -> Column:
     return F.concat(body, F.pmod(10 - total % 10, F.lit(10)).cast("string"))
 
 
+def _no_card(raw: Column) -> Column:
+    """Digits that look like a card number, with a wrong Luhn sum."""
+    digits = F.regexp_replace(raw, "[ -]", "")
+    return F.when(raw.rlike(rf"\A(?:{PATTERNS['card']})\z"), digits != _luhn(digits)).otherwise(F.lit(False))
+
+
+def _inside(raw: Column) -> Column:
+    """Digits that are no card as structs (raw, entity) in their order: other entities, and what is between them."""
+    return F.flatten(F.zip_with(F.split(raw, INNER, -1), F.regexp_extract_all(raw, F.lit(INNER), F.lit(0)), lambda p, x: F.array(
+        F.struct(F.coalesce(p, F.lit("")).alias("raw"), F.lit(False).alias("entity")),
+        F.struct(F.coalesce(x, F.lit("")).alias("raw"), (x.isNotNull() & ~_no_card(x)).alias("entity")))))
+
+
 def _octets(stream: Column, attempt: Column) -> Column:
     return F.concat_ws(".", *[(1 + F.pmod(_draw(stream, F.lit(4 * i)) * 5 + attempt, F.lit(254))).cast("string")
                               for i in range(4)])
@@ -235,21 +257,34 @@ def replace_entities(docs: DataFrame, key: str = "surrogates", text_col: str = "
     hinted = F.coalesce(F.col("t").rlike(HINT), F.lit(False))
     found = F.regexp_extract_all("t", F.lit(ENTITY), F.lit(0))
     # one row for each different text with entities; texts themselves are not kept
-    marked = stored(rows.where(hinted).select(F.md5(F.col("t").cast("binary")).alias("digest"), found.alias("raws"))
-                    .where(F.size("raws") > 0).groupBy("digest").agg(F.first("raws").alias("raws")), "pii-found")
-    parts = marked.select("digest", F.posexplode("raws").alias("at", "raw"))
-    typed = parts.select("digest", "at", "raw", _typed(F.col("raw")).alias("kind"))
+    marked = stored(rows.where(hinted).select(F.md5(F.col("t").cast("binary")).alias("digest"), "t", found.alias("raws"))
+                    .where(F.size("raws") > 0)
+                    # digits that are no card stay a secret where they are one
+                    .select("digest", "raws", F.when(F.exists("raws", _no_card), F.regexp_extract_all(
+                        "t", F.lit(ENTITY_SECRET), F.lit(1))).alias("secrets"))
+                    .groupBy("digest").agg(F.first("raws").alias("raws"), F.first("secrets").alias("secrets")), "pii-found")
+    parts = marked.select("digest", "secrets", F.posexplode("raws").alias("at", "raw"))
+    secret = F.coalesce(F.get("secrets", F.col("at")) == F.col("raw"), F.lit(False))
+    whole = F.array(F.struct(F.col("raw"), F.lit(True).alias("entity")))
+    parts = parts.withColumn("no_card", _no_card(F.col("raw"))).select("digest", "at", (F.col("no_card") & secret).alias("secret"), F.posexplode(
+        F.when(F.col("no_card") & ~secret, _inside(F.col("raw"))).otherwise(whole)).alias("place", "part"))
+    parts = stored(parts.select("digest", "at", "secret", "place", "part.*"), "pii-parts")
+    typed = parts.where("entity").withColumn("kind", F.when(F.col("secret"), "secret").otherwise(_typed(F.col("raw"))))
     typed = typed.withColumn("value", _canonical(F.col("kind"), F.col("raw")))
     table = surrogates(typed.select("kind", "value"), key)
     new = _formatted(F.col("kind"), F.col("raw"), F.col("surrogate"))
-    done = stored(typed.join(table, ["kind", "value"]).select("digest", "at", "kind", "raw", new.alias("surrogate"))
-                  .groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("at", "kind", "raw", "surrogate"))).alias("e")),
-                  "pii-replaced")
+    between = parts.where("not entity").select("digest", "at", "place", F.lit(None).cast("string").alias("kind"), "raw", F.col("raw").alias("surrogate"))
+    done = (typed.join(table, ["kind", "value"]).select("digest", "at", "place", "kind", "raw", new.alias("surrogate")).unionAll(between)
+            .groupBy("digest", "at").agg(F.array_sort(F.collect_list(F.struct("place", "kind", "raw", "surrogate"))).alias("p"))
+            .select("digest", "at", F.array_join(F.transform("p", lambda x: x["surrogate"]), "").alias("new"), F.transform(
+                F.filter("p", lambda x: x["kind"].isNotNull()), lambda x: F.struct(
+                    x["kind"].alias("kind"), x["raw"].alias("raw"), x["surrogate"].alias("surrogate"))).alias("held")))
+    done = stored(done.groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("at", "new", "held"))).alias("e")), "pii-replaced")
     kind = "array<struct<kind:string,raw:string,surrogate:string>>"
-    held = F.transform("e", lambda x: F.struct(x["kind"].alias("kind"), x["raw"].alias("raw"), x["surrogate"].alias("surrogate")))
+    held = F.flatten(F.transform("e", lambda x: x["held"]))
     pieces = F.split("t", ENTITY, -1)
     woven = F.array_join(F.flatten(F.zip_with(pieces, F.col("e"), lambda p, x: F.array(
-        F.coalesce(p, F.lit("")), F.coalesce(x["surrogate"], F.lit(""))))), "")
+        F.coalesce(p, F.lit("")), F.coalesce(x["new"], F.lit(""))))), "")
     some = (rows.where(hinted).withColumn("digest", F.md5(F.col("t").cast("binary"))).join(done, "digest", "left")
             .select("row", F.when(F.col("e").isNull(), F.col("t")).otherwise(woven).alias("text"),
                     F.coalesce(held, F.array().cast(kind)).alias("entities")))

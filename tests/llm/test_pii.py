@@ -129,6 +129,24 @@ def test_every_type_is_found_alone(spark):
     assert not [v for i, v in enumerate(alone.values()) if v in got[i].text]
 
 
+def test_numbers_that_are_no_personal_data_stay(spark):
+    """Card numbers need a right Luhn sum and phone numbers a layout of their own; entities beside such digits are found."""
+    stay = ["at 1700000000000 ms", "ISBN 978-3-16-148410-0", "10.000.000 euros", "12 345 678 people", "latitude 51.507351 north",
+            "wars of 1914 1918 1939", "4111 1111 1111 1112"]
+    cards = ["12 4111 1111 1111 1111", "4111 1111 1111 1111 123", "555-123-4567 20201", "123-45-6789 12345"]
+    phones = ["+1 (386) 555-3733", "(020) 7946 0958", "555-123-4567", "555.123.4567", "020 7946 0958", "+442079460958"]
+    got = replaced(spark, stay + cards + [f"call {p} now" for p in phones] + ["token=1700000000000 at 1700000000000"])
+    assert [(got[i].text, got[i].entities) for i in range(len(stay))] == [(t, []) for t in stay]
+    inner = [got[len(stay) + i] for i in range(len(cards))]
+    assert [[(e["kind"], e["raw"]) for e in r.entities] for r in inner] == [
+        [("card", "4111 1111 1111 1111")], [("card", "4111 1111 1111 1111")], [("phone", "555-123-4567")], [("ssn", "123-45-6789")]]
+    assert [r.text for r in inner] == [t.replace(r.entities[0]["raw"], r.entities[0]["surrogate"]) for t, r in zip(cards, inner)]
+    n = len(stay) + len(cards)
+    assert [[(e["kind"], e["raw"]) for e in got[n + i].entities] for i in range(len(phones))] == [[("phone", p)] for p in phones]
+    last = got[n + len(phones)]
+    assert [e["kind"] for e in last.entities] == ["secret"] and last.text == f"token={last.entities[0]['surrogate']} at 1700000000000"
+
+
 def test_main_path_is_native(spark, docs):
     plan = pii.op5_pii_surrogates(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
