@@ -53,8 +53,8 @@ PATIENCE_ELSE = 6
 _ALL_TITLES = "|".join(TITLES.values())
 #: Types in the order in which they are tried, with their patterns.
 PATTERNS = {
-    "secret": r"(?<=(?i:password|passwd|secret|token|api_key)\s{0,3}[=:]\s{0,3}[\"']?)[^\s\"']{6,}",
-    "email": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    "secret": r"(?<=[=:\s\"'])(?<=(?i:password|passwd|secret|token|api_key)\s{0,3}[=:]\s{0,3}[\"']?)[^\s\"']{6,}",
+    "email": r"[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "awskey": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b",
     "hexkey": r"\b(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{16,64}\b",
@@ -62,10 +62,10 @@ PATTERNS = {
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     # with a plus sign, with brackets, or in groups that are no thousands, years or decimals
-    "phone": r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\d+])\+\d{7,15}(?!\d)"
-             r"|(?<![\d+])\(\d{2,4}\)[ .-]\d{3,4}[ .-]?\d{3,4}(?!\d)"
-             r"|(?<![\d+])(?<!\d[.,])(?:\d{3}[ .-]\d{3}[ .-]\d{4}|\d{3}[ -]\d{4}[ -]\d{4}|\d{2}-\d{4}-\d{4}|\d{3}-\d{7}"
-             r"|0\d{1,3}(?:[ -]\d{3,4}[ -]?|\.\d{3,4}\.)\d{3,4})(?!\d|[.,]\d)",
+    "phone": r"(?=[+(\d])(?<![\d+])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]?\d{3,4}(?!\d)|\+\d{7,15}(?!\d)"
+             r"|\(\d{2,4}\)[ .-]\d{3,4}[ .-]?\d{3,4}(?!\d)"
+             r"|(?<!\d[.,])(?:\d{3}[ .-]\d{3}[ .-]\d{4}|\d{3}[ -]\d{4}[ -]\d{4}|\d{2}-\d{4}-\d{4}|\d{3}-\d{7}"
+             r"|0\d{1,3}(?:[ -]\d{3,4}[ -]?|\.\d{3,4}\.)\d{3,4})(?!\d|[.,]\d))",
     "name": rf"(?<!\p{{L}})(?:{_ALL_TITLES})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
