@@ -67,7 +67,12 @@ def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
             & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
             & F.exists("v", lambda x: x != 0))
     found = df.select(F.col(id_col).cast("long").alias(id_col), v.alias("v")).where(fine)
-    return found.select(F.col(id_col).alias("vec_id"), "v", F.size("v").alias("d"))
+    # cosines do not change when a vector is divided by its largest component, and no square leaves the range of a double;
+    # by a power of two, so that the division is exact
+    largest = F.array_max(F.transform("v", lambda x: F.abs(x)))
+    power = F.least(F.greatest(F.floor(F.log2(largest)), F.lit(-1022)), F.lit(1022)).cast("double")
+    scaled = F.transform("v", lambda x: x / F.pow(F.lit(2.0), power))
+    return found.select(F.col(id_col).alias("vec_id"), scaled.alias("v"), F.size("v").alias("d"))
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id",

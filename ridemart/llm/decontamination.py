@@ -199,9 +199,10 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_c
         if result is None:
             result = scan(docs, block, text_col)
             continue
-        more = scan(result.select("row.*", F.struct(*[F.col(f.name) for f in found_type]).alias("_earlier_found")),
-                    block, text_col)
-        old = F.col("row._earlier_found")
+        # the document stays one struct, so its names cannot clash with the earlier findings
+        more = scan(result.select(F.col("row"), F.col("row")[text_col].alias("text"),
+                                  F.struct(*[F.col(f.name) for f in found_type]).alias("earlier")), block, "text")
+        old = F.col("row.earlier")
         spans = F.aggregate(
             F.array_sort(F.concat(old["spans"], F.col("spans"))), F.expr("cast(array() as array<array<bigint>>)"),
             lambda acc, x: F.when((F.size(acc) > 0) & (x[0] <= F.element_at(F.element_at(acc, -1), 2)),
@@ -209,7 +210,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_c
                                            F.array(F.array(F.element_at(acc, -1)[0],
                                                            F.greatest(F.element_at(acc, -1)[1], x[1])))))
             .otherwise(F.concat(acc, F.array(x))))
-        result = more.select(F.col("row").dropFields("_earlier_found").alias("row"), "n_words", spans.alias("spans"),
+        result = more.select(F.col("row.row").alias("row"), "n_words", spans.alias("spans"),
                              F.array_sort(F.array_union(old["items"], F.col("items"))).alias("items"),
                              F.concat(old["matches"], F.col("matches")).alias("matches"))
     return result if result is not None else scan(docs, [], text_col)

@@ -54,7 +54,9 @@ _ALL_TITLES = "|".join(TITLES.values())
 #: Types in the order in which they are tried, with their patterns.
 PATTERNS = {
     "secret": r"(?<=[=:\s\"'])(?<=(?i:password|passwd|secret|token|api_key)\s{0,3}[=:]\s{0,3}[\"']?)[^\s\"']{6,}",
-    "email": r"[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    # only from the start of a run of its characters or where the last match ended, and with bounded parts, so that no
+    # run is read again and again: a name of 256 characters (mail allows 64), a host of 127 labels (as DNS does)
+    "email": r"(?:\G|(?<![\p{L}\p{N}._%+-]))[\p{L}\p{N}._%+-]{1,256}+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+){0,126}\.\p{L}{2,}",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "awskey": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b",
     "hexkey": r"\b(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{16,64}\b",
@@ -193,9 +195,15 @@ def _person(value: Column, stream: Column, more: Column) -> Column:
 
 
 def _surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
+    """The draw of a value. Its hashes are bound once: inside the functions over characters they would be taken of the
+    whole value again for each of its characters."""
     seed = F.concat_ws("\u0001", F.lit(key), kind, value, attempt.cast("string"))
     stream = F.concat(F.sha2(seed.cast("binary"), 512), F.sha2(F.concat(seed, F.lit("+")).cast("binary"), 512))
-    more = _more(seed, kind, attempt)
+    bound = F.array(F.struct(stream.alias("stream"), _more(seed, kind, attempt).alias("more")))
+    return F.get(F.transform(bound, lambda x: _drawn(kind, value, attempt, x["stream"], x["more"])), F.lit(0))
+
+
+def _drawn(kind: Column, value: Column, attempt: Column, stream: Column, more: Column) -> Column:
     digits, letters = F.translate(more, "abcdef", "012345"), F.translate(more, "0123456789", "ghijklmnop")
     groups = F.regexp_replace(digits, r"(\d)", ".$1")
     at = F.instr(value, "@")
@@ -263,8 +271,10 @@ def replace_entities(docs: DataFrame, key: str = "surrogates", text_col: str = "
                     .select("digest", "raws", F.when(F.exists("raws", _no_card), F.regexp_extract_all(
                         "t", F.lit(ENTITY_SECRET), F.lit(1))).alias("secrets"))
                     .groupBy("digest").agg(F.first("raws").alias("raws"), F.first("secrets").alias("secrets")), "pii-found")
-    parts = marked.select("digest", "secrets", F.posexplode("raws").alias("at", "raw"))
-    secret = F.coalesce(F.get("secrets", F.col("at")) == F.col("raw"), F.lit(False))
+    # each match beside its secret before they become rows, so that no row holds the whole list
+    pairs = F.transform("raws", lambda raw, i: F.struct(raw.alias("raw"), F.get("secrets", i).alias("as_secret")))
+    parts = marked.select("digest", F.posexplode(pairs).alias("at", "pair")).select("digest", "at", "pair.*")
+    secret = F.coalesce(F.col("as_secret") == F.col("raw"), F.lit(False))
     whole = F.array(F.struct(F.col("raw"), F.lit(True).alias("entity")))
     parts = parts.withColumn("no_card", _no_card(F.col("raw"))).select("digest", "at", (F.col("no_card") & secret).alias("secret"), F.posexplode(
         F.when(F.col("no_card") & ~secret, _inside(F.col("raw"))).otherwise(whole)).alias("place", "part"))

@@ -55,14 +55,14 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fps.view(np.int64)), *b.columns[2:]],
                                              names=["doc_id", "fp", *b.schema.names[2:]])
 
-    more = [_digest(text_col).alias("digest")] if digest else []
+    more = [_digest(F.col(text_col)).alias("digest")] if digest else []
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"), *more)
             .mapInArrow(run, "doc_id long, fp long" + ", digest string" * digest))
 
 
-def _digest(text_col: str) -> Column:
+def _digest(text: Column) -> Column:
     """Tells texts apart, and a null from every text."""
-    return F.coalesce(F.md5(F.col(text_col).cast("string").cast("binary")), F.lit(""))
+    return F.coalesce(F.md5(text.cast("string").cast("binary")), F.lit(""))
 
 
 def _blocks(bits: list[int], count: int) -> list[list[int]]:
@@ -209,14 +209,15 @@ def one_per_group(docs: DataFrame, shingle: int = 3, max_distance: int = 3, id_c
     # id and digest decide the text, so they decide the component too: the pairs are distinct
     keep = stored(_rooted(prints.groupBy("fp").agg(first), max_distance).groupBy("root").agg(F.min("rep").alias("rep"))
                   .select(F.col("rep.doc_id").alias("_keep_id"), F.col("rep.digest").alias("_keep_digest")), "simhash-keep")
-    marked = docs.withColumn("_keep_text", _digest(text_col))
-    mine = marked.join(keep, marked[id_col].cast("long").eqNullSafe(F.col("_keep_id"))
-                       & (F.col("_keep_text") == F.col("_keep_digest")), "left_semi")
+    # the row is one struct, so its names cannot clash with the helpers
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
+                       docs[f"`{id_col}`"].cast("long").alias("id"), _digest(docs[f"`{text_col}`"]).alias("text_digest"))
+    mine = rows.join(keep, rows.id.eqNullSafe(F.col("_keep_id")) & (rows.text_digest == F.col("_keep_digest")), "left_semi")
     # rows with one id and text are left; maps have no order and no hash
-    ordered = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
-    order = Window.partitionBy(F.col(id_col).cast("long"), "_keep_text").orderBy(F.xxhash64(*ordered))
-    return (mine.withColumn("_keep_rank", F.row_number().over(order)).where("_keep_rank = 1")
-            .drop("_keep_rank", "_keep_text"))
+    ordered = [F.col("row")[f.name] for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    order = Window.partitionBy("id", "text_digest").orderBy(F.xxhash64(*ordered))
+    first = mine.withColumn("nth", F.row_number().over(order)).where("nth = 1")
+    return first.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op7_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

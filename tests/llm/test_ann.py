@@ -69,3 +69,13 @@ def test_copies_of_one_vector(spark):
     for r in ann.search(df, df.where("vec_id in (0, 5)"), k=3).collect():
         got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
     assert got == {0: {1: (1, 1.0), 2: (2, 1.0), 3: (3, 1.0)}, 5: {1: (0, 1.0), 2: (1, 1.0), 3: (2, 1.0)}}
+
+
+def test_components_of_extreme_size(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1.0, 0.0]), (2, [1e-200, 0.0]), (3, [5e-324, 5e-324]), (4, [0.0, 1.7e308]), (5, [-1e300, 1e-300])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in ann.search(df, df, k=5).collect()}
+    unit = {0: (0.5 ** 0.5, 0.5 ** 0.5), 1: (1, 0), 2: (1, 0), 3: (0.5 ** 0.5, 0.5 ** 0.5), 4: (0, 1), 5: (-1, 0)}
+    assert len(got) == 30
+    for (q, v), score in got.items():
+        assert abs(score - sum(a * b for a, b in zip(unit[q], unit[v]))) < 1e-12, (q, v)

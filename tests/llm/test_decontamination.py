@@ -1,6 +1,7 @@
 import re
 
 import duckdb
+from pyspark.sql import functions as F
 
 from ridemart.llm import decontamination as dc
 
@@ -81,3 +82,14 @@ def test_items_without_id_count(spark, tmp_path):
     many = {r.row.doc_id: r for r in dc.find_matches(docs, bench, block_words=4).collect()}
     assert {i: (bool(r.spans), r["items"]) for i, r in many.items()} == {
         1: (True, []), 2: (True, ["k"]), 3: (True, ["k"]), 4: (False, []), 5: (True, [])}
+
+
+def test_blocks_and_columns_named_like_helpers(spark):
+    item = " ".join(f"w{i}" for i in range(12))
+    bench = spark.createDataFrame([("a", item), ("b", "other words entirely " * 4)], "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"x {item} y"), (2, "clean"), (3, "other words entirely " * 4)], "doc_id long, text string")
+    for c in ("_earlier_found", "earlier", "row", "spans", "items", "matches", "n_words"):
+        docs = docs.withColumn(c, F.lit(c))
+    one, many = (dc.find_matches(docs, bench, block_words=n).orderBy("row.doc_id").collect() for n in (10_000, 5))
+    assert [(r.n_words, r.spans, r["items"]) for r in one] == [(r.n_words, r.spans, r["items"]) for r in many]
+    assert [r.row["_earlier_found"] for r in many] == ["_earlier_found"] * 3 and [bool(r.spans) for r in many] == [True, False, True]

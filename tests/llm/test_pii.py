@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ridemart.llm import pii
@@ -159,3 +161,23 @@ def test_odd_rows(spark, odd, empty):
     mail = spark.createDataFrame([(1, "x@y.org")] * 3 + [(None, "x@y.org")], "doc_id long, text string")
     assert {r.text for r in pii.without_personal_data(mail).collect()} != {"x@y.org"}
     assert pii.without_personal_data(mail).count() == 4
+
+
+@pytest.mark.parametrize("text, kinds", [
+    ("x@" + "a." * 40_000 + "com 1", []), ("aB3+" * 250_000, []), ("x@" + "a" * 1_000_000 + " 1", []), ("12-" * 300_000, []),
+    ("data:image/png;base64," + "iVBORw0KGgo+/" * 80_000 + " to bob@example.com", ["email"]),
+    ("password=" + "x9" * 300_000, ["secret"]), ("a" * 256 + "@example.com", ["email"])])
+def test_very_long_runs_are_read_once(spark, text, kinds):
+    """Runs without spaces of up to 1 MB: no deep recursion, no time that grows with the square."""
+    import time
+    start = time.time()
+    done = pii.replace_entities(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert [e.kind for e in done.entities] == kinds and (done.text == text) == (not kinds)
+    assert time.time() - start < 90
+
+
+def test_addresses_after_another_match_and_before_dots(spark):
+    rows = [(1, "x@a.com.b@c.de"), (2, "write to jo.e@mail.example.org...then"), (3, "a.b%c+d-e@x-y.co.uk, Z@q.fr.")]
+    done = pii.replace_entities(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {r.row.doc_id: [e.raw for e in r.entities] for r in done.collect()}
+    assert found == {1: ["x@a.com", ".b@c.de"], 2: ["jo.e@mail.example.org"], 3: ["a.b%c+d-e@x-y.co.uk", "Z@q.fr"]}

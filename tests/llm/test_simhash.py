@@ -2,6 +2,7 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from ridemart.llm import simhash
 
@@ -80,3 +81,14 @@ def test_one_row_of_every_group_whatever_its_id(spark):
     assert sorted(got, key=str) == sorted([(None, lone[0]), (None, lone[1]), (9, lone[2]), (None, ""), (7, lone[3]), (7, lone[4]),
                                            (7, lone[5])], key=str)
     assert len({brute_print(t) for _, t in got}) == len(got) == len({brute_print(r[1]) for r in rows})
+
+
+def test_survivors_keep_columns_named_like_helpers(spark, odd):
+    named = odd
+    for c in ("_keep_text", "_keep_id", "_keep_digest", "_keep_rank", "nth", "id", "text_digest", "digest", "rep", "fp"):
+        named = named.withColumn(c, F.lit(c))
+    kept = simhash.one_per_group(named)
+    assert kept.columns == named.columns
+    assert all(r["_keep_text"] == "_keep_text" and r["nth"] == "nth" for r in kept.collect())
+    plain = simhash.one_per_group(odd)
+    assert sorted(map(str, kept.select(*odd.columns).collect())) == sorted(map(str, plain.collect()))
