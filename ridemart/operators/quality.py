@@ -7,11 +7,14 @@ single aggregate pass per table (``count_if`` per rule), never one job per rule.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ridemart.sources import storage
+
 EXPECT, DROP, FAIL = "expect", "drop", "fail"
 
 
@@ -57,6 +60,36 @@ def apply_rules(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]
     return clean, quarantined
 
 
+def checked_write(df: DataFrame, target: str, rules: list[Rule], rejects: str | None = None) -> dict[str, int]:
+    """DQ1-2 inside the write: rows, and rows that fail each rule, counted by the tasks that write them.
+
+    One pass: rows go to a staged folder beside ``target``, kept and quarantined ones apart, while ``observe``
+    counts them (a table is written by the last stage, whose tasks count once even if they are run again). Only
+    when no fail-mode rule has failed do the folders take the place of ``target`` and ``rejects``;
+    otherwise the staged rows go, the held table stays as it was, and ExpectationFailed tells the counts."""
+    spark = df.sparkSession
+    staged = f"{target.rstrip('/')}__staged-{uuid.uuid4().hex}"
+    names = {f"f{i}": r.name for i, r in enumerate(rules)}
+    counters = [F.count_if(~r.passed()).alias(f"f{i}") for i, r in enumerate(rules)]
+    seen = Observation()
+    marked = annotate(df, rules).observe(seen, F.count(F.lit(1)).alias("rows"), *counters)
+    marked = marked.withColumn("reasons", F.when(F.col("_quarantine"), F.array_join("_failed_rules", ","))).drop("_failed_rules")
+    marked.write.partitionBy("_quarantine").parquet(staged)
+    counts = {"rows": seen.get["rows"], **{name: seen.get[k] for k, name in names.items()}}
+    broken = {r.name: counts[r.name] for r in rules if r.mode == FAIL and counts[r.name]}
+    if broken:
+        storage.remove(spark, staged)
+        raise ExpectationFailed(f"constraint violations: {broken}")
+    for folder, path, columns in (("false", target, df.schema), ("true", rejects, marked.drop("_quarantine").schema)):
+        if path is not None:
+            part = f"{staged}/_quarantine={folder}"
+            if not storage.exists(spark, part):  # no row of that kind
+                spark.createDataFrame([], columns).write.parquet(part)
+            storage.replace(spark, part, path)
+    storage.remove(spark, staged)
+    return counts
+
+
 def report(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """DQ4: per rule -- mode, rows checked, passed, failed -- from one aggregate pass."""
     aggs = [F.count(F.lit(1)).alias("_rows")]
@@ -81,6 +114,20 @@ def weather_rules() -> list[Rule]:
     ]
 
 
+def bronze_load_rules(required: list[str]) -> list[Rule]:
+    """Constraints of a landing: a line that does not fit its header is set aside, and a load in which a
+    required column has no value at all in some row's place is counted."""
+    return [Rule("line_fits_header", F.col("_corrupt_record").isNull(), DROP),
+            *[Rule(f"{c.replace(' ', '_').lower()}_present", F.col(f"`{c}`").isNotNull(), EXPECT) for c in required]]
+
+
+def fact_rules() -> list[Rule]:
+    """DQ2 constraints of the fact: a key that is missing or repeated must never be published."""
+    return [Rule("trip_key_present", F.col("trip_key").isNotNull(), FAIL),
+            Rule("fare_not_negative", F.coalesce(F.col("fare_amount") >= 0, F.lit(True)), FAIL),
+            Rule("booked_for_date_known", F.col("trip_booked_for_date_key").isNotNull(), EXPECT)]
+
+
 def silver_trip_rules() -> list[Rule]:
     """Silver booking constraints and expectations (DQ2)."""
     return [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -16,31 +17,51 @@ from ridemart.sources.schemas import CORRUPT_COLUMN, all_string_schema
 SOURCE_FILE_COLUMN = "_source_file"
 
 
-def file_headers(spark: SparkSession, path: str | list[str], glob: str | None = None) -> dict[str, list[str]]:
-    """The files of a landing folder by their header line. One pass over the text: every
-    task keeps one line per file, the first of the file's first block."""
-    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    lines = reader.text(path).select("value", F.col("_metadata.file_path").alias("file"),
-                                     F.col("_metadata.file_block_start").alias("start"),
-                                     F.monotonically_increasing_id().alias("at"))
-    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+def landed_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> list[str]:
+    """The files of a landing folder, listed without reading them: the content column is pruned."""
+    reader = spark.read.format("binaryFile")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return [unquote(r.file) for r in reader.load(path).select(F.col("_metadata.file_path").alias("file")).orderBy("file").collect()]
+
+
+def first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a file, read from its start through the file system that Spark reads it with; compressed
+    files by their suffix, as the readers do. None for an empty file."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        content = codec.createInputStream(stream) if codec is not None else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(content, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def file_headers(spark: SparkSession, files: list[str], at_once: int = 16) -> dict[str, list[str]]:
+    """Files by their header line. Only the start of each file is read, a few files at a time, like a listing."""
     found: dict[str, list[str]] = {}
-    for r in first.orderBy("file").collect():  # one row per file, as a listing of the folder
-        found.setdefault(r.header, []).append(unquote(r.file))
+    with ThreadPoolExecutor(at_once) as pool:
+        for file, header in zip(files, pool.map(lambda f: first_line(spark, f), files)):
+            if header is not None:
+                found.setdefault(header, []).append(file)
     return found
 
 
 def read_csv(spark: SparkSession, path: str | list[str], columns: list[str], glob: str | None = None,
-             required: list[str] | None = None) -> DataFrame:
+             required: list[str] | None = None, listed: list[str] | None = None) -> DataFrame:
     """SRC1: header CSV files as text columns, mapped by each file's own header.
 
     The result has ``columns``, then every other column that some file has, the raw text of lines
     that do not fit their header in ``_corrupt_record``, and the file in ``_source_file``. Files may
     order their columns differently. A file without a ``required`` column (default: all ``columns``)
-    is rejected line by line, never mapped by position. No schema inference.
+    is rejected line by line, never mapped by position. No schema inference. ``listed``: the files, where a stream
+    has listed them already.
     """
     needed, parts = set(columns if required is None else required), []
-    for header, group in file_headers(spark, path, glob).items():
+    landed = landed_files(spark, path, glob) if listed is None else listed
+    for header, group in file_headers(spark, landed).items():
         names = [n.strip() for n in next(csv.reader([header.lstrip("\ufeff")]), [])]
         usable = needed <= set(names) and len(set(names)) == len(names)
         if usable:
