@@ -16,6 +16,7 @@ so it survives writing and comparison.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -348,28 +349,53 @@ def trip_details(trips: DataFrame, dim_zone: DataFrame) -> DataFrame:
                       for c in DETAIL_COLUMNS] + ["trip_key"])
 
 
+def select_places(rows: DataFrame, key: str, skip: int, take: int, most: int = 10_000, ranges: int = 1024) -> tuple[DataFrame, int]:
+    """Rows that hold the places ``skip`` to ``skip + take - 1`` in the order of an integer ``key``, and how many rows of
+    them come before. Ranges of equal width are counted (at most ``ranges`` small rows) and only those with the wanted places
+    are kept, again and again until at most ``most`` rows are left, so nothing is sorted as a whole; the kept range is
+    a filter on ``key`` that reaches the scan."""
+    while True:
+        low, high, n = rows.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
+        if n <= most or low == high:
+            return rows, skip
+        width = -(-(high - low + 1) // ranges)
+        place = ((F.col(key) - F.lit(low)) / width).cast("long")
+        counts = sorted((r[0], r[1]) for r in rows.groupBy(place.alias("range")).count().collect())
+        before, kept, passed = 0, [], 0
+        for at, held in counts:
+            if passed + held <= skip:
+                before = passed + held
+            elif passed < skip + take:
+                kept.append(at)
+            passed += held
+        narrower = rows.where(F.col(key).between(low + kept[0] * width, low + (kept[-1] + 1) * width - 1)) if kept else rows
+        if not kept or len(kept) == len(counts):
+            return narrower, skip - before
+        rows, skip = narrower, skip - before
+
+
 def page(details: DataFrame, page_no: int = 1, page_size: int = 50) -> DataFrame:
     """ORD5: one page of the detail table, newest first, ties by trip_key; the page number is
     clamped to [1, total_pages].
 
-    Row counts by date (one small row per date) tell which dates the page lies in; only their rows
-    are then ordered, so no task holds the rows of newer dates, however deep the page is.
+    Row counts by date (one small row per date) tell which dates the page lies in, and counts of key ranges which rows of a
+    date; only these are ordered, so the work does not grow with the depth of the page or the size of a date.
     """
-    newest = Window.orderBy(F.col("full_date").desc_nulls_last())
-    by_date = details.groupBy("full_date").agg(F.count(F.lit(1)).alias("n")).select(
-        "full_date", "n", (F.sum("n").over(newest) - F.col("n")).alias("before")).persist()
-    total = by_date.agg(F.sum("n")).first()[0] or 0
+    by_date = details.groupBy("full_date").count().orderBy(F.col("full_date").desc_nulls_last()).collect()
+    total = sum(r["count"] for r in by_date)
     total_pages = max(1, (total + page_size - 1) // page_size)
     p = min(max(1, page_no), total_pages)
-    start = (p - 1) * page_size
-    dates = by_date.where((F.col("before") < start + page_size) & (F.col("before") + F.col("n") > start)).orderBy("before").collect()
-    by_date.unpersist()
-    held = [d.full_date for d in dates]  # at most one per row of the page
-    inside = F.col("full_date").isin([d for d in held if d is not None])
-    if None in held:
-        inside = F.coalesce(inside, F.lit(False)) | F.col("full_date").isNull()
-    out = (details.where(inside).orderBy(F.col("full_date").desc_nulls_last(), F.col("trip_key").asc())
-           .offset(start - dates[0].before if dates else 0).limit(page_size))
+    start, before, parts, skip = (p - 1) * page_size, 0, [], 0
+    for day, n in by_date:
+        first, last = max(0, start - before), min(n, start + page_size - before)
+        if first < last:
+            own = details.where(F.col("full_date").isNull() if day is None else F.col("full_date") == F.lit(day))
+            part, ahead = select_places(own, "trip_key", first, last - first)
+            parts.append(part)
+            skip += ahead  # only the first date of a page has rows before it
+        before += n
+    out = (reduce(DataFrame.unionByName, parts) if parts else details.limit(0))
+    out = out.orderBy(F.col("full_date").desc_nulls_last(), F.col("trip_key").asc()).offset(skip).limit(page_size)
     return out.select(*DETAIL_COLUMNS, F.lit(p).alias("page"),
                       F.lit(total_pages).alias("total_pages"))
 

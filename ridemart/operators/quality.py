@@ -73,20 +73,30 @@ def checked_write(df: DataFrame, target: str, rules: list[Rule], rejects: str |
     counters = [F.count_if(~r.passed()).alias(f"f{i}") for i, r in enumerate(rules)]
     seen = Observation()
     marked = annotate(df, rules).observe(seen, F.count(F.lit(1)).alias("rows"), *counters)
-    marked = marked.withColumn("reasons", F.when(F.col("_quarantine"), F.array_join("_failed_rules", ","))).drop("_failed_rules")
-    marked.write.partitionBy("_quarantine").parquet(staged)
+    apart = any(r.mode == DROP for r in rules)
+    if apart:  # quarantined rows in folders named by their reasons, kept ones in the folder without any
+        reasons = F.when(F.col("_quarantine"), F.array_join("_failed_rules", ","))
+        marked.withColumn("reasons", reasons).drop("_failed_rules", "_quarantine").write.partitionBy("reasons").parquet(staged)
+    else:
+        marked.drop("_failed_rules", "_quarantine").write.parquet(staged)
     counts = {"rows": seen.get["rows"], **{name: seen.get[k] for k, name in names.items()}}
     broken = {r.name: counts[r.name] for r in rules if r.mode == FAIL and counts[r.name]}
     if broken:
         storage.remove(spark, staged)
         raise ExpectationFailed(f"constraint violations: {broken}")
-    for folder, path, columns in (("false", target, df.schema), ("true", rejects, marked.drop("_quarantine").schema)):
-        if path is not None:
-            part = f"{staged}/_quarantine={folder}"
-            if not storage.exists(spark, part):  # no row of that kind
-                spark.createDataFrame([], columns).write.parquet(part)
-            storage.replace(spark, part, path)
-    storage.remove(spark, staged)
+    if not apart:
+        storage.replace(spark, staged, target)
+        return counts
+    kept = f"{staged}/reasons=__HIVE_DEFAULT_PARTITION__"
+    if not storage.exists(spark, kept):
+        df.limit(0).write.parquet(kept)
+    storage.replace(spark, kept, target)
+    if rejects is None:
+        storage.remove(spark, staged)
+        return counts
+    if not any(f.startswith("reasons=") for f in storage.names(spark, staged)):
+        df.limit(0).withColumn("reasons", F.lit("")).write.mode("overwrite").parquet(staged)
+    storage.replace(spark, staged, rejects)
     return counts
 
 
@@ -114,13 +124,6 @@ def weather_rules() -> list[Rule]:
     ]
 
 
-def bronze_load_rules(required: list[str]) -> list[Rule]:
-    """Constraints of a landing: a line that does not fit its header is set aside, and a load in which a
-    required column has no value at all in some row's place is counted."""
-    return [Rule("line_fits_header", F.col("_corrupt_record").isNull(), DROP),
-            *[Rule(f"{c.replace(' ', '_').lower()}_present", F.col(f"`{c}`").isNotNull(), EXPECT) for c in required]]
-
-
 def fact_rules() -> list[Rule]:
     """DQ2 constraints of the fact: a key that is missing or repeated must never be published."""
     return [Rule("trip_key_present", F.col("trip_key").isNotNull(), FAIL),

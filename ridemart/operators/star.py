@@ -81,8 +81,7 @@ def fact_trip(silver: DataFrame, dim_date_df: DataFrame, dim_zone_df: DataFrame,
               with_trip_key: bool = True) -> DataFrame:
     """JN2-4 + PRJ11 + WIN5: one row per deduplicated booking with surrogate foreign keys.
 
-    Dimensions are broadcast after a size check (they are materialized tables), so the fact
-    is never shuffled for the lookups. trip_key is the 0-based position in (booked-for date,
+    Dimensions are written tables of known size, so the planner decides whether they are broadcast. trip_key is the 0-based position in (booked-for date,
     booking_id) order, NULLs first: dense, unique, the same on every rerun over the same silver
     table, and chronological. Numbering range-partitions on that order, so each written file
     covers a narrow date range and a filter on trip_booked_for_date_key skips files and row

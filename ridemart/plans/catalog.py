@@ -176,4 +176,5 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query, including the ones defined in other plan modules."""
     from ridemart.plans.checks import MORE_QUERIES
     from ridemart.plans.extra import EXTRA_QUERIES
-    return QUERIES | EXTRA_QUERIES | MORE_QUERIES
+    from ridemart.plans.loads import LOAD_QUERIES
+    return QUERIES | EXTRA_QUERIES | MORE_QUERIES | LOAD_QUERIES

@@ -175,6 +175,19 @@ MORE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def damaged_sql(features: str) -> str:
+    """The CTEs up to ``parts``: the features of ``damaged_features`` with their split."""
+    return features.replace("feat AS (", """dview AS (SELECT * REPLACE (
+        CASE WHEN trip_key % 5 <> 0 THEN distance END AS distance,
+        CASE WHEN trip_key % 7 <> 0 THEN destination_latitude END AS destination_latitude,
+        CASE WHEN trip_key % 3 <> 0 THEN expected_vs_actual_pickup_minutes_difference END AS expected_vs_actual_pickup_minutes_difference,
+        CASE WHEN trip_key % 4 <> 0 THEN dispatch_to_arrival_minutes END AS dispatch_to_arrival_minutes) FROM fview),
+feat AS (""", 1).replace("FROM fview\n", "FROM dview\n", 1).rstrip() + """,
+parts AS (SELECT *, CASE WHEN CAST(('0x' || substr(md5(coalesce(booking_id, '') || ':42'), 1, 8)) AS BIGINT) % 100 < 20
+          THEN 'test' ELSE 'train' END AS split FROM feat)
+"""
+
+
 def more_sql(base: dict[str, str], extra: dict[str, str], with_star: Callable[[str], str], features: str,
              hourly_by_day: str) -> dict[str, str]:
     """SQL for MORE_QUERIES. base, extra: SQL of the queries they build on; features: the CTEs up to ``feat``."""
@@ -215,15 +228,7 @@ def more_sql(base: dict[str, str], extra: dict[str, str], with_star: Callable[[s
         "fact_trip.destination_zone_key resolves": "count(*) FILTER (WHERE false)"}
     out["DQ6_damaged_key_checks"] = with_star(" UNION ALL ".join(
         f"SELECT '{c}' AS \"check\", {n} AS violations FROM fact_trip" for c, n in counts.items()))
-    damaged = features.replace("feat AS (", """dview AS (SELECT * REPLACE (
-        CASE WHEN trip_key % 5 <> 0 THEN distance END AS distance,
-        CASE WHEN trip_key % 7 <> 0 THEN destination_latitude END AS destination_latitude,
-        CASE WHEN trip_key % 3 <> 0 THEN expected_vs_actual_pickup_minutes_difference END AS expected_vs_actual_pickup_minutes_difference,
-        CASE WHEN trip_key % 4 <> 0 THEN dispatch_to_arrival_minutes END AS dispatch_to_arrival_minutes) FROM fview),
-feat AS (""", 1).replace("FROM fview\n", "FROM dview\n", 1).rstrip() + """,
-parts AS (SELECT *, CASE WHEN CAST(('0x' || substr(md5(coalesce(booking_id, '') || ':42'), 1, 8)) AS BIGINT) % 100 < 20
-          THEN 'test' ELSE 'train' END AS split FROM feat)
-"""
+    damaged = damaged_sql(features)
     out["FLT7_damaged_features"] = damaged + (
         "SELECT split, count(*) AS rows, count(pickup_delay_signal) AS with_wait, count(journey_urgency) AS with_urgency, "
         "count(*) FILTER (WHERE dispatch_to_arrival_minutes = 0) AS arrival_zero, round(avg(distance), 4) AS avg_distance FROM parts GROUP BY split")

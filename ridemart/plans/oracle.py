@@ -849,4 +849,7 @@ def build_more() -> dict[str, str]:
     hours = with_star("") + _hourly_where(DEMO_WEATHER_FILTER) + (
         "SELECT hour_of_day, day_name, CAST(sum(trip_count) AS BIGINT) AS trip_count, "
         f"{weekday_index('day_name')} AS day_index FROM hourly GROUP BY hour_of_day, day_name")
-    return more_sql(build(), build_extra(), with_star, _features_sql(), hours)
+    from ridemart.plans.checks import damaged_sql
+    from ridemart.plans.loads import load_sql
+    base, extra, features = build(), build_extra(), _features_sql()
+    return more_sql(base, extra, with_star, features, hours) | load_sql(extra, with_star, damaged_sql(features))

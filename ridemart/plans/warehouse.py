@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridemart.operators import marts, silver as silver_ops, star, weather as weather_ops
+from ridemart.operators import marts, quality as Q, silver as silver_ops, star, weather as weather_ops
 from ridemart.session import scratch_path
 from ridemart.sources import testdata
 
@@ -38,12 +38,17 @@ class Warehouse:
     root: str
     tables: dict[str, str] = field(default_factory=dict)
     rows: dict[str, int] = field(default_factory=dict)
+    checks: dict[str, dict[str, int]] = field(default_factory=dict)
 
-    def write(self, name: str, df: DataFrame, sort_by: list[str] | None = None) -> DataFrame:
-        """Overwrite table ``name`` (schema replaced) and return a DataFrame reading it."""
+    def write(self, name: str, df: DataFrame, sort_by: list[str] | None = None, rules: list[Q.Rule] | None = None) -> DataFrame:
+        """Overwrite table ``name`` (schema replaced) and return a DataFrame reading it. With ``rules``, rows are counted
+        while they are written, and a load that breaks a fail-mode rule leaves the held table as it was (DQ2)."""
         path = f"{self.root}/{name}"
         out = df.sortWithinPartitions(*sort_by) if sort_by else df
-        out.write.mode("overwrite").parquet(path)
+        if rules is None:
+            out.write.mode("overwrite").parquet(path)
+        else:
+            self.checks[name] = Q.checked_write(out, path, rules)
         self.tables[name] = path
         return self.read(name)
 
@@ -53,9 +58,9 @@ class Warehouse:
     def __getitem__(self, name: str) -> DataFrame:
         return self.read(name)
 
-    def peek(self, name: str, n: int = 5, columns: list[str] | None = None) -> DataFrame:
-        """ORD4/SNK8 inspection: the first ``n`` rows (optionally a column subset) of a table."""
-        df = self.read(name)
+    def peek(self, name: str, n: int = 5, columns: list[str] | None = None, order_by: list[str] | None = None) -> DataFrame:
+        """ORD4/SNK8 inspection: the first ``n`` rows (optionally a column subset, optionally in an order) of a table."""
+        df = self.read(name).orderBy(*order_by) if order_by else self.read(name)
         return (df.select(*columns) if columns else df).limit(n)
 
     def summary(self) -> DataFrame:
@@ -77,7 +82,7 @@ def build_star(wh: Warehouse, typed_trips: DataFrame, as_of: str) -> None:
     silver = wh.write("silver_taxi", silver_ops.silver_from_typed(typed_trips, as_of))
     dd = wh.write("dim_date", star.dim_date(silver, wh["weather_daily"]))
     dz = wh.write("dim_zone", star.dim_zone(silver))
-    fact = wh.write("fact_trip", star.fact_trip(silver, dd, dz))
+    fact = wh.write("fact_trip", star.fact_trip(silver, dd, dz), rules=Q.fact_rules())
     wh.write("daily_kpis", marts.daily_kpis(fact, dd))
     wh.write("zone_daily", marts.zone_daily(fact))
     wh.write("hourly_trips", marts.hourly_trips(fact, dd))

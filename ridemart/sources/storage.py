@@ -15,6 +15,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder."""
+    fs, where = _at(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(where)]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder that this library wrote; a missing one is fine."""
     fs, where = _at(spark, path)
