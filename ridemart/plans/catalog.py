@@ -177,4 +177,5 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from ridemart.plans.checks import MORE_QUERIES
     from ridemart.plans.extra import EXTRA_QUERIES
     from ridemart.plans.loads import LOAD_QUERIES
-    return QUERIES | EXTRA_QUERIES | MORE_QUERIES | LOAD_QUERIES
+    from ridemart.plans.profiles import PROFILE_QUERIES
+    return QUERIES | EXTRA_QUERIES | MORE_QUERIES | LOAD_QUERIES | PROFILE_QUERIES

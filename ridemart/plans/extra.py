@@ -158,6 +158,7 @@ def live_tile(spark: SparkSession, sf: str) -> DataFrame:
         schema = spark.read.parquet(src).schema
         stream = spark.readStream.schema(schema).parquet(src)
         live.run_tile(live.windowed_counts(stream), f"{path}/out", f"{path}/_checkpoint")
+        live.compact_tile(spark, f"{path}/out", ["window_start", "event_type"])
 
     path = _once(spark, "tile", sf, run)
     tile = live.latest_tile(spark, f"{path}/out", ["window_start", "event_type"])

@@ -851,5 +851,7 @@ def build_more() -> dict[str, str]:
         f"{weekday_index('day_name')} AS day_index FROM hourly GROUP BY hour_of_day, day_name")
     from ridemart.plans.checks import damaged_sql
     from ridemart.plans.loads import load_sql
+    from ridemart.plans.profiles import profile_sql
     base, extra, features = build(), build_extra(), _features_sql()
-    return more_sql(base, extra, with_star, features, hours) | load_sql(extra, with_star, damaged_sql(features))
+    return more_sql(base, extra, with_star, features, hours) | (
+        load_sql(extra, with_star, damaged_sql(features)) | profile_sql(extra, with_star))

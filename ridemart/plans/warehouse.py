@@ -14,6 +14,7 @@ from __future__ import annotations
 import threading
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +73,56 @@ class Warehouse:
         return self.spark.createDataFrame(rows, "table string, rows long, columns int")
 
 
+#: Types whose least and largest value Spark takes from Parquet footers.
+_FOOTER_TYPES = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date"}
+
+
+_FOOTER_ROW = "table string, column_name string, type string, rows long, non_null long, min double, max double"
+
+
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session of its own with the two settings that push counts and extremes into Parquet scans."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own
+
+
+def column_profile(df: DataFrame, extremes: set[str]) -> DataFrame:
+    """One row per column of ``df``, from one aggregate; least and largest values of the columns in ``extremes``."""
+    aggs, parts = [F.count(F.lit(1)).alias("_rows")], []
+    for i, f in enumerate(df.schema.fields):
+        c, kind = F.col(f"`{f.name}`"), f.dataType.simpleString()
+        aggs.append(F.count(c).alias(f"n{i}"))
+        low = high = F.lit(None).cast("double")
+        if f.name in extremes:
+            aggs += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
+            low, high = ((F.unix_date(x) if kind == "date" else F.col(x)).cast("double") + F.lit(0.0) for x in (f"lo{i}", f"hi{i}"))
+        parts.append(F.struct(F.lit(f.name).alias("column_name"), F.lit(kind).alias("type"), F.col("_rows").alias("rows"),
+                              F.col(f"n{i}").alias("non_null"), low.alias("min"), high.alias("max")))
+    return df.agg(*aggs).select(F.explode(F.array(*parts)).alias("p")).select("p.*")
+
+
+def footer_profile(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
+    """SNK8: (table, column_name, type, rows, non_null, min, max) of written tables from the footers of their files: counts
+    and extremes are pushed into the scan, so no column data is read. Extremes are doubles (dates: days since
+    1970; footers write a least zero as -0.0, which becomes 0.0), NULL for types whose footers hold none and for columns
+    without a value. A table with a row group whose footer lacks an extreme (a column all NULL there, or with
+    a NaN) is read in the usual way."""
+    own, rows = footer_session(spark), []
+    for name, path in tables.items():
+        table = own.read.parquet(path)
+        some = {r.column_name for r in column_profile(table, set()).collect() if r.non_null and r.type in _FOOTER_TYPES}
+        try:
+            found = column_profile(table, some).collect()  # one row a column
+        except Py4JJavaError as e:
+            if "No min/max found" not in str(e):
+                raise
+            found = column_profile(spark.read.parquet(path), some).collect()
+        rows += [(name, *r) for r in found]
+    return spark.createDataFrame(rows, _FOOTER_ROW)
+
+
 def build_weather(wh: Warehouse, weather_bronze: DataFrame) -> None:
     sw = wh.write("silver_weather", weather_ops.silver_weather(weather_bronze))
     wh.write("weather_daily", weather_ops.weather_daily(sw))

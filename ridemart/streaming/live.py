@@ -3,7 +3,8 @@
 Watermark + tumbling window + groupBy; state older than the watermark is dropped, so the
 state size is bounded by the watermark delay, not by the stream's length. Each micro-batch
 writes the windows it updated under its batch id (a replayed batch overwrites its own
-folder: idempotent), and the tile is the latest version of every window.
+folder: idempotent), and the tile is the latest version of every window. ``compact_tile`` folds the
+updates into one folder, so that reading the tile does not grow with the stream's age.
 
 Late data: a row is dropped when its window ended before the watermark of the previous
 micro-batch (Spark applies the late-event watermark one batch behind the eviction watermark).
@@ -14,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridemart.sources import storage
+
 
 def windowed_counts(stream: DataFrame, ts: str = "ts", key: str = "event_type",
                     value: str = "value", window: str = "1 hour", watermark: str = "2 hours") -> DataFrame:
@@ -36,9 +39,36 @@ def run_tile(agg: DataFrame, out_path: str, checkpoint: str) -> None:
     q.awaitTermination()
 
 
+def _numbers(spark: SparkSession, out_path: str, prefix: str) -> list[int]:
+    """Numbers of the written folders ``prefix=number``, in order."""
+    if not storage.exists(spark, out_path):
+        return []
+    return sorted(int(n.split("=")[1]) for n in storage.names(spark, out_path) if n.startswith(f"{prefix}=")
+                  and storage.exists(spark, f"{out_path}/{n}/_SUCCESS"))
+
+
+def compact_tile(spark: SparkSession, out_path: str, keys: list[str]) -> None:
+    """Fold all updates so far into one folder ``tile=<last batch>`` with one row per window and key, then remove what it
+    replaces. A folder counts once it is whole, so a failure at any point leaves the tile as it was; call it
+    between runs of the stream."""
+    batches, tiles = _numbers(spark, out_path, "batch_id"), _numbers(spark, out_path, "tile")
+    last = tiles[-1] if tiles else -1
+    if batches and batches[-1] > last:
+        tile = latest_tile(spark, out_path, keys)
+        tile.withColumn("batch_id", F.lit(batches[-1]).cast("long")).write.mode("overwrite").parquet(f"{out_path}/tile={batches[-1]}")
+        last = batches[-1]
+    for prefix, numbers, kept in (("batch_id", batches, last + 1), ("tile", tiles, last)):
+        for n in numbers:
+            if n < kept:
+                storage.remove(spark, f"{out_path}/{prefix}={n}")
+
+
 def latest_tile(spark: SparkSession, out_path: str, keys: list[str]) -> DataFrame:
-    """The newest emitted row per window and key (windows are few: one row each)."""
-    updates = spark.read.parquet(out_path)
+    """The newest emitted row per window and key: the compacted tile, if any, and the updates after it."""
+    tiles = _numbers(spark, out_path, "tile")
+    last = tiles[-1] if tiles else -1
+    folders = [f"{out_path}/tile={last}"] * bool(tiles) + [f"{out_path}/batch_id={n}" for n in _numbers(spark, out_path, "batch_id") if n > last]
+    updates = spark.read.parquet(*folders)
     rest = [c for c in updates.columns if c not in keys and c != "batch_id"]
     latest = updates.groupBy(*keys).agg(
         F.max_by(F.struct(*rest), F.col("batch_id")).alias("_v"))
