@@ -1,14 +1,15 @@
 """Operator 2, toxicity by weak supervision.
 
-Many voters look at a text: word lists, shape patterns, and words and word beginnings that are found
-far more often in documents labelled toxic (mined by one count over the labelled sample). A generative
-label model estimates by expectation maximisation how often each voter fires in either class, and from
-what its posterior leaves unexplained, which voters go together; correlated voters share their
-weight. A human label is one more voter of fixed accuracy. A logistic classifier over the voters and shape
-features is then trained on the posterior labels and scores whole texts.
+Many voters look at a text: word lists, and words, word beginnings and pieces of very long runs that hold far
+more often in documents labelled toxic (mined by one count over the labelled sample). Each pattern has a voter for
+one, two, and three or more occurrences, of which at most one fires; a word and its beginning don't both vote, nor
+do two patterns that the same documents have. A generative label model estimates by expectation maximisation how
+often each voter fires in either class, over labelled and unlabelled texts alike. From what the classes leave
+unexplained it estimates which voters go together: those that fire, or are silent, beside each other share their weight. Human labels anchor the classes while the rates are estimated, but the posterior labels come
+from the votes alone, and a logistic classifier over the voters and shape features is trained on them and
+scores whole texts.
 
-Fitting uses at most ``fit_rows`` labelled documents, chosen by a hash of their id. The model sent to
-tasks holds at most ``max_voters`` patterns.
+Fitting uses at most ``fit_rows`` labelled and about as many unlabelled documents, chosen by hashes.
 
 Defined results: a null or empty text scores what the classifier gives no vote at all; without usable
 labels only the word lists vote; repeated rows are scored alike; a null id can't be a training row;
@@ -17,6 +18,7 @@ an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 
 import ahocorasick
@@ -28,8 +30,10 @@ from pyspark.sql.types import StructType
 
 from ridemart.llm.common import WORDS, chunks, crc_mod, labelled_sample, map_rows, read_table, texts_of
 
-#: Bounds on the documents the model is fitted on and on the mined voters.
-FIT_ROWS, MAX_VOTERS = 8000, 400
+#: Bound on the documents the model is fitted on.
+FIT_ROWS = 8000
+#: Occurrences from which a voter may fire, longest beginning of a word, letters from which a run is cut into pieces.
+LEVELS, BEGINNING, LONG_RUN, PIECE = 3, 8, 40, 5
 #: Fixed word lists, one voter each: common insults by language.
 LEXICONS = {
     "en": "idiot moron stupid loser scum trash pathetic worthless disgusting clown dumb jerk imbecile",
@@ -37,6 +41,8 @@ LEXICONS = {
     "fr": "idiot imbécile connard ordure minable stupide dégoûtant pathétique débile",
     "es": "idiota imbécil estúpido basura asqueroso patético payaso inútil escoria",
 }
+#: Weight of a silent voter: most only know the words of one language.
+SILENCE = 0.5
 #: Probability that a human label is right.
 LABEL_ACCURACY = 0.98
 
@@ -46,13 +52,17 @@ def normal(text: bytes) -> str:
     return " " + b" ".join(text.translate(WORDS).split()).decode() + " "
 
 
-def word_patterns(text: bytes) -> set[str]:
-    """Candidate patterns in a text: ' word ' and ' begin' of four to six characters."""
-    out = set()
-    for w in set(normal(text).split(" ")):
-        if len(w) > 2:
-            out.add(f" {w[:40]} " if len(w) <= 40 else f" {w[:40]}")
-            out.update(f" {w[:n]}" for n in (4, 5, 6) if len(w) > n)
+def word_patterns(text: bytes) -> Counter[str]:
+    """Candidate patterns in a text and how often it has them: ' word ', ' begin' of four to eight letters, and every
+    piece of five letters of a run too long for a word."""
+    out: Counter[str] = Counter()
+    for w, n in Counter(normal(text).split(" ")).items():
+        if len(w) > LONG_RUN:
+            out.update({w[i:i + PIECE]: n for i in range(len(w) - PIECE + 1)})
+        elif len(w) > 2:
+            out[f" {w} "] += n
+            for k in range(4, min(len(w), BEGINNING + 1)):
+                out[f" {w[:k]}"] += n
     return out
 
 
@@ -67,40 +77,55 @@ def shape(text: bytes) -> list[float]:
             min(1.0, np.log1p(len(text)) / 16)]
 
 
-def mine_patterns(sample: DataFrame, max_voters: int, least: int = 3, lift: float = 8.0) -> list[str]:
-    """Patterns that at least ``least`` toxic documents hold and that are ``lift`` times commoner in
-    toxic documents, most telling first."""
+def mine_patterns(sample: DataFrame, least: int = 4, share: float = 0.02, lift: float = 20.0) -> list[str]:
+    """Patterns that ``least`` toxic documents and ``share`` of them have some number of times (up to ``LEVELS``) or more, and that are
+    then ``lift`` times commoner in toxic documents. Of those that hold for the same documents one is taken, and of a
+    pattern and its beginnings the most telling one."""
     def count(batches):
-        pos, neg, seen = Counter(), Counter(), [0, 0]
+        found: dict[tuple[str, int], list[int]] = {}
+        seen = [0, 0]
         for b in batches:
             for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                (pos if y else neg).update(word_patterns(t.encode()))
+                text = t.encode()
+                sign = zlib.crc32(text)
                 seen[y] += 1
-        rows = [("", seen[1], seen[0])] + [(w, pos[w], neg[w]) for w in pos.keys() | neg.keys()]
+                for w, n in word_patterns(text).items():
+                    for level in range(1, min(n, LEVELS) + 1):
+                        row = found.setdefault((w, level), [0, 0, 0])
+                        row[y] += 1
+                        row[2] += sign
+        rows = [("", 0, seen[0], seen[1], 0)] + [(w, level, *r) for (w, level), r in found.items()]
         for i in range(0, len(rows), 50_000):
-            w, p, n = zip(*rows[i:i + 50_000])
-            yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(p, pa.int64()), pa.array(n, pa.int64())],
-                                             names=["w", "p", "n"])
+            cols = zip(*rows[i:i + 50_000])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int32(), *[pa.int64()] * 3))],
+                                             names=["w", "level", "n", "p", "sign"])
 
-    counts = sample.mapInArrow(count, "w string, p long, n long").groupBy("w").agg(
-        F.sum("p").alias("p"), F.sum("n").alias("n"))
+    counts = sample.mapInArrow(count, "w string, level int, n long, p long, sign long").groupBy("w", "level").agg(
+        *[F.sum(c).alias(c) for c in ("n", "p", "sign")])
     kept = counts.where((F.col("w") == "") | (F.col("p") >= least))
-    top = kept.orderBy(F.when(F.col("w") == "", 0).otherwise(1),
-                       F.desc(F.col("p") / (F.col("n") + 1.0)), F.desc("p"), "w").limit(4 * max_voters + 1).collect()
-    if not top or top[0].w != "":
+    total = kept.where("w = ''").first()
+    if total is None or not total.p:
         return []
-    toxic, clean = max(1, top[0].p), max(1, top[0].n)
-    told = [(r.p / toxic / ((r.n + 0.5) / clean), r.p, r.w) for r in top[1:]]
-    told = sorted((x for x in told if x[0] >= lift), key=lambda x: (-min(x[1], 50) * np.log(x[0]), x[2]))
-    return [w for _, _, w in told[:max_voters]]
+    telling = (F.col("p") >= share * total.p) & (F.col("p") / total.p >= lift * (F.col("n") + 0.5) / max(1, total.n))
+    one = kept.where((F.col("w") != "") & telling).groupBy("level", "n", "p", "sign").agg(
+        F.min(F.struct(F.length("w").alias("size"), "w")).alias("v"))
+    worth: dict[str, float] = {}
+    for r in one.collect():
+        more = r.p * np.log(r.p / total.p / ((r.n + 0.5) / max(1, total.n)))
+        worth[r.v.w] = max(worth.get(r.v.w, 0.0), more)
+    told: list[str] = []
+    for w in sorted(worth, key=lambda w: (-worth[w], w)):
+        if not any(w.startswith(x) or x.startswith(w) for x in told):
+            told.append(w)
+    return sorted(told)
 
 
 class Voters:
     """Votes of the word lists and patterns, and shape features, for texts."""
 
     def __init__(self, patterns: list[str]):
-        self.patterns, self.lists = patterns, sorted(LEXICONS)
-        self.width = len(self.lists) + len(patterns) + SHAPES
+        self.texts, self.lists = patterns, sorted(LEXICONS)
+        self.width = LEVELS * (len(self.lists) + len(patterns)) + SHAPES
         self.machine = None
 
     def features(self, texts: list[bytes]) -> np.ndarray:
@@ -109,16 +134,19 @@ class Voters:
             for i, name in enumerate(self.lists):
                 for w in LEXICONS[name].split():
                     values.setdefault(f" {w} ", []).append(i)
-            for i, w in enumerate(self.patterns):
-                values.setdefault(w, []).append(len(self.lists) + i)
+            for i, w in enumerate(self.texts, len(self.lists)):
+                values.setdefault(w, []).append(i)
             self.machine = ahocorasick.Automaton()
             for w, v in values.items():
                 self.machine.add_word(w, v)
             self.machine.make_automaton()
         x = np.zeros((len(texts), self.width))
+        found = np.zeros(len(self.lists) + len(self.texts), np.int64)
         for row, t in zip(x, texts):
+            found[:] = 0
             for _, v in self.machine.iter(normal(t)):
-                row[v] = 1.0
+                found[v] += 1
+            row[np.flatnonzero(found) * LEVELS + np.minimum(found[found > 0], LEVELS) - 1] = 1.0
             row[-SHAPES:] = shape(t)
         return x
 
@@ -127,42 +155,45 @@ class Voters:
 
 
 class LabelModel:
-    """Voters that fire given the class, with weights lowered for voters that fire together."""
+    """Voters that fire given the class, with weights lowered for voters that fire together. ``silence``: weight of the
+    evidence of voters that don't fire, 1 where every voter can judge every text."""
 
-    def fit(self, votes: np.ndarray, gold: np.ndarray, rounds: int = 40) -> LabelModel:
-        n, k = votes.shape
+    def __init__(self, silence: float = 1.0):
+        self.silence = silence
+
+    def fit(self, votes: np.ndarray, gold: np.ndarray, rounds: int = 10) -> LabelModel:
+        """``gold``: 0 or 1 for anchors, -1 for texts without a label."""
         told = gold >= 0
-        prior = (gold[told].sum() + 1) / (told.sum() + 2) if told.any() else 0.1
-        lists = votes[:, :len(LEXICONS)].any(1)
-        post = np.where(told, np.where(gold == 1, LABEL_ACCURACY, 1 - LABEL_ACCURACY), np.where(lists, 0.9, prior / 2))
-        self.share = np.ones(k)
-        # what the classes leave unexplained, before the fit could explain twins by a class of their own:
-        # on the rows with a human label, or on all rows as first guessed
+        self.prior = float((gold[told].sum() + 1) / (told.sum() + 2)) if told.any() else 0.1
+        lists = votes[:, :LEVELS * len(LEXICONS)].any(1)
+        post = np.where(told, np.where(gold == 1, LABEL_ACCURACY, 1 - LABEL_ACCURACY), np.where(lists, 0.9, self.prior / 2))
+        # what the classes leave unexplained: on the anchors, or on all rows as first guessed
         known, w = (votes[told], post[told]) if told.any() else (votes, post)
         self._rates(known, w)
         rest = known - (1 - w)[:, None] * self.rate[0] - w[:, None] * self.rate[1]
         spread = np.sqrt((rest ** 2).mean(0)) + 1e-9
         self.correlation = (rest.T @ rest) / len(known) / spread[:, None] / spread
-        together = np.where(self.correlation > 0.3, self.correlation, 0)
-        np.fill_diagonal(together, 0)
-        self.share = 1 / (1 + together.sum(1))
+        self.together = np.where(self.correlation > 0.1, self.correlation, 0)
+        np.fill_diagonal(self.together, 0)
         for _ in range(rounds):
-            self._rates(votes, post)
             post = self.posterior(votes, gold)
+            self._rates(votes, post)
         return self
 
     def _rates(self, votes: np.ndarray, post: np.ndarray) -> None:
-        """How often each voter fires in either class, and the share of class 1."""
-        self.rate = [((w[:, None] * votes).sum(0) + 0.01 * (1 + 9 * c)) / (w.sum() + 0.1 + 0.1 * c)
-                     for c, w in ((0, 1 - post), (1, post))]
-        self.prior = float(np.clip(post.mean(), 0.001, 0.999))
-
-    def posterior(self, votes: np.ndarray, gold: np.ndarray) -> np.ndarray:
-        a, b = (np.clip(r, 1e-5, 1 - 1e-5) for r in self.rate)
-        fired, quiet = self.share * np.log(b / a), self.share * np.log((1 - b) / (1 - a))
-        logit = votes @ fired + (1 - votes) @ quiet + np.log(self.prior / (1 - self.prior))
-        sure = np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY))
-        logit += np.where(gold == 1, sure, np.where(gold == 0, -sure, 0))
+        """How often each voter fires in either class."""
+        every = votes.mean(0)
+        self.rate = [((w[:, None] * votes).sum(0) + 5 * every + 1e-4) / (w.sum() + 5) for w in (1 - post, post)]
+
+    def posterior(self, votes: np.ndarray, gold: np.ndarray | None = None) -> np.ndarray:
+        """Probability of class 1 from the votes; with ``gold`` an anchor's label is one more vote."""
+        a, b = (np.clip(r, 1e-6, 1 - 1e-6) for r in self.rate)
+        silent = 1 - votes
+        logit = ((votes * np.log(b / a) / (1 + votes @ self.together)).sum(1)
+                 + self.silence * (silent * np.log((1 - b) / (1 - a)) / (1 + silent @ self.together)).sum(1) + np.log(self.prior / (1 - self.prior)))
+        if gold is not None:
+            sure = np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY))
+            logit = logit + np.where(gold == 1, sure, np.where(gold == 0, -sure, 0))
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
@@ -190,28 +221,42 @@ def fit_linear(x: np.ndarray, y: np.ndarray, rounds: int = 1200, rate: float = 0
     return w[:-1], float(w[-1])
 
 
+def unlabelled_sample(docs: DataFrame, usable, rows: int, id_col: str, text_col: str) -> DataFrame:
+    """(y, t) of about ``rows`` usable documents, y -1, chosen by a hash of the id; empty texts tell nothing."""
+    able = docs.where(usable & (F.length(F.col(text_col).cast("string")) > 0))
+    step = max(1, -(-able.count() // rows))
+    return able.where(F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(2)), F.lit(step)) == 0).select(
+        F.lit(-1).alias("y"), F.col(text_col).cast("string").alias("t"))
+
+
 def fit_model(docs: DataFrame, labels: DataFrame, usable, label: str = "toxic", fit_rows: int = FIT_ROWS,
-              max_voters: int = MAX_VOTERS, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
+              id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
     sample = labelled_sample(docs, labels, label, usable, fit_rows, id_col, text_col)
-    voters = Voters(mine_patterns(sample, max_voters))
+    voters = Voters(mine_patterns(sample))
 
     def vote(batches):
         for b in batches:
             done = 0
             for texts in chunks(b.column(1).cast(pa.string())):
-                x = voters.features(texts).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(done, len(texts)).cast(pa.int32()),
-                                                  pa.array([r.tobytes() for r in x], pa.binary())], names=["y", "x"])
+                x = voters.features(texts)
+                bits = np.packbits(x[:, :-SHAPES] > 0, axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(done, len(texts)).cast(pa.int32()), pa.array([r.tobytes() for r in bits], pa.binary()),
+                     pa.array([r.tobytes() for r in x[:, -SHAPES:].astype(np.float32)], pa.binary())], names=["y", "v", "s"])
                 done += len(texts)
 
-    rows = sample.mapInArrow(vote, "y int, x binary").collect()
-    rows.sort(key=lambda r: (r.y, bytes(r.x)))
+    both = sample.select(F.col(sample.columns[0]).cast("int").alias("y"), F.col(sample.columns[1]).alias("t")).unionByName(
+        unlabelled_sample(docs, usable, fit_rows, id_col, text_col))
+    rows = both.mapInArrow(vote, "y int, v binary, s binary").collect()
+    rows.sort(key=lambda r: (r.y, bytes(r.v), bytes(r.s)))
     k = voters.width - SHAPES
-    if not rows:  # the word lists alone
+    if not any(r.y >= 0 for r in rows):  # the word lists alone
         return ToxicityModel(voters, np.r_[np.full(k, 4.0), np.zeros(SHAPES)], -2.0)
-    x = np.frombuffer(b"".join(bytes(r.x) for r in rows), np.float32).reshape(len(rows), -1).astype(float)
+    votes = np.unpackbits(np.stack([np.frombuffer(bytes(r.v), np.uint8) for r in rows]), axis=1, count=k).astype(float)
+    shapes = np.stack([np.frombuffer(bytes(r.s), np.float32) for r in rows]).astype(float)
     gold = np.array([r.y for r in rows])
-    weights, bias = fit_linear(x, LabelModel().fit(x[:, :k], gold).posterior(x[:, :k], gold))
+    post = LabelModel(SILENCE).fit(votes, gold).posterior(votes)
+    weights, bias = fit_linear(np.hstack([votes, shapes]), post)
     return ToxicityModel(voters, weights, bias)
 
 

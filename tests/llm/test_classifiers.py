@@ -18,6 +18,32 @@ def test_held_out_accuracy(spark, query, label, share):
     assert rows.where("score < 0 or score > 1 or score is null").count() == 0
 
 
+def test_toxic_documents_are_found_in_every_language(spark):
+    rows = toxicity.op2_weak_toxicity(spark, SF).where("held_out").join(spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic"), "doc_id").join(
+        spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    got = rows.groupBy("lang").agg(F.sum("toxic").alias("toxic"), F.sum(F.col("toxic") * F.col("predicted")).alias("found"),
+                                   F.count_if(F.col("toxic") == 0).alias("clean"), F.sum((1 - F.col("toxic")) * F.col("predicted")).alias("false")).collect()
+    assert len(got) == 4 and all(r.found >= 0.8 * r.toxic for r in got)
+    assert sum(r.false for r in got) <= 0.01 * sum(r.clean for r in got)
+
+
+def test_withheld_labels_change_the_training(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    every, few = (toxicity.fit_model(docs, x, F.lit(True)) for x in (labels, labels.where("doc_id % 2 = 0")))
+    assert every.voters.texts != few.voters.texts or abs(every.weights - few.weights).max() > 0.01
+
+
+def test_patterns_of_words_and_long_runs():
+    got = toxicity.word_patterns(b"Scumbag scumbag, ok " + b"xy" * 30 + b"insult" + b"z" * 30)
+    assert got[" scumbag "] == got[" scum"] == got[" scumb"] == 2 and " ok " not in got
+    assert got["insul"] == 1 and got["xyxyx"] == 1
+    v = toxicity.Voters([" scum", "insul"])
+    x = v.features([b"scum", b"scum scums scummy scumbag", b"a" * 50 + b"insult" + b"b" * 50, b""])
+    at = toxicity.LEVELS * len(toxicity.LEXICONS)
+    assert x[:, at:at + 6].tolist() == [[1, 0, 0, 0, 0, 0], [0, 0, 1, 0, 0, 0], [0, 0, 0, 1, 0, 0], [0] * 6]
+
+
 def test_held_out_rule(spark):
     for q, n, r in ((quality.op8_quality_classifier, 5, 0), (toxicity.op2_weak_toxicity, 3, 1)):
         for x in q(spark, "/root/testdata/sf0.001").collect():
@@ -83,4 +109,8 @@ def test_label_model_finds_accuracies_and_correlations():
     m = toxicity.LabelModel().fit(votes, gold)
     assert ((m.posterior(votes, gold) > 0.5) == y).mean() > 0.9
     assert m.correlation[0, 1] > 0.5 > abs(m.correlation[0, 3])
-    assert m.share[0] < 0.8 < m.share[3]
+    assert m.together[0, 1] > 0.5 and m.together[0, 3] == 0
+    # the posterior labels come from the votes: an anchor's own label is no vote of theirs
+    assert (m.posterior(votes) == m.posterior(votes, np.full(4000, -1))).all()
+    alone = toxicity.LabelModel().fit(votes, np.full(4000, -1))
+    assert abs(alone.posterior(votes) - m.posterior(votes)).max() > 0.05
