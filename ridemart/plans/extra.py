@@ -166,6 +166,31 @@ def live_tile(spark: SparkSession, sf: str) -> DataFrame:
                        F.round("revenue", 2).alias("revenue"))
 
 
+def late_tile(spark: SparkSession, sf: str) -> DataFrame:
+    """STR1: four landings, an eighth of the events one landing late; what is counted and what came too late."""
+    keys = ["window_start", "event_type"]
+
+    def run(path: str) -> None:
+        events = spark.read.parquet(event_slices(spark, sf))
+        landing = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)) + (F.col("event_id") % 8 == 0).cast("int")
+        for n in range(4):
+            events.where(landing == n).write.mode("append").parquet(f"{path}/src")
+            stream = spark.readStream.schema(events.schema).parquet(f"{path}/src")
+            live.run_counted_tile(stream, f"{path}/out", f"{path}/late", f"{path}/_checkpoint")
+            if n == 1:
+                live.compact_tile(spark, f"{path}/out", keys, live.summed_tile)
+
+    path = _once(spark, "late_tile", sf, run)
+    late = live.late_rows(spark, f"{path}/late").select(
+        F.window("ts", "1 hour").start.alias("window_start"), "event_type", F.lit(0).alias("trips"),
+        F.lit(0.0).alias("revenue"), F.lit(1).alias("late_rows"), F.col("value").alias("late_revenue"))
+    tile = live.summed_tile(spark, f"{path}/out", keys).select(
+        *keys, "trips", "revenue", F.lit(0).alias("late_rows"), F.lit(0.0).alias("late_revenue"))
+    return tile.unionByName(late).groupBy(*keys).agg(
+        F.sum("trips").alias("trips"), F.round(F.sum("revenue"), 2).alias("revenue"),
+        F.sum("late_rows").alias("late_rows"), F.round(F.sum("late_revenue"), 2).alias("late_revenue"))
+
+
 def _weather_deduped(spark: SparkSession, sf: str) -> DataFrame:
     return W.dedup_readings(W.parse_weather(testdata.weather_bronze(spark, sf)))
 
@@ -298,6 +323,7 @@ EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "DQ6_key_checks": lambda s, sf: Q.key_checks(
         warehouse(s, sf)["fact_trip"], warehouse(s, sf)["dim_date"], warehouse(s, sf)["dim_zone"]),
     "STR1_live_trip_tile": live_tile,
+    "STR1_late_rows": late_tile,
     "VEC1_label_centroid_top10": lambda s, sf: _r(V.top_k(
         testdata.table(s, sf, "embeddings"), V.centroids(testdata.table(s, sf, "embeddings")), k=10),
         {"similarity": 4}),

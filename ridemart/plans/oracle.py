@@ -822,6 +822,17 @@ def build_extra() -> dict[str, str]:
         "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, "
         "time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type, "
         "count(*) AS trips, round(sum(value), 2) AS revenue FROM events GROUP BY 1, 2, 3")
+    q["STR1_late_rows"] = """
+WITH a AS (SELECT *, CAST(least((day(ts) - 1) // 10, 2) AS INTEGER) + CAST(event_id % 8 = 0 AS INTEGER) AS landing,
+                  time_bucket(INTERVAL 1 HOUR, ts) AS window_start FROM events),
+marks AS (SELECT n.landing, max(a.ts) AS mark FROM (VALUES (0), (1), (2), (3)) n(landing)
+          LEFT JOIN a ON a.landing < n.landing GROUP BY 1),
+b AS (SELECT a.*, coalesce(window_start + INTERVAL 1 HOUR <= mark - INTERVAL 2 HOUR, FALSE) AS late
+      FROM a JOIN marks USING (landing))
+SELECT window_start, event_type, count(*) FILTER (NOT late) AS trips,
+       round(coalesce(sum(value) FILTER (NOT late), 0), 2) AS revenue, count(*) FILTER (late) AS late_rows,
+       round(coalesce(sum(value) FILTER (late), 0), 2) AS late_revenue
+FROM b GROUP BY 1, 2"""
     q["VEC1_label_centroid_top10"] = """
 WITH ex AS (
   SELECT vec_id, label, unnest(generate_series(1, len(embedding))) AS pos,

@@ -164,3 +164,71 @@ def test_live_tile_drops_events_behind_the_watermark(spark):
     assert tile[dt.datetime(2024, 1, 1, 6, 0)] == (1, 2.0)
     assert tile[dt.datetime(2024, 1, 1, 7, 0)] == (1, 3.0)
     assert len(tile) == 8
+
+
+def test_counted_tile_keeps_late_rows_in_a_side_table(spark):
+    import datetime as dt
+    d = _tmp()
+    schema = "event_id long, ts timestamp, event_type string, value double"
+    t0, keys = dt.datetime(2024, 1, 1, 0, 10), ["window_start", "event_type"]
+
+    def at(hours):
+        return t0 + dt.timedelta(hours=hours)
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(f"{d}/src")
+        live.run_counted_tile(stream, f"{d}/out", f"{d}/late", f"{d}/ckpt")
+
+    def land(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{d}/src")
+        run()
+
+    def tile():
+        return {(r.window_start.hour, r.event_type): (r.trips, r.revenue)
+                for r in live.summed_tile(spark, f"{d}/out", keys).collect()}
+
+    def late():
+        return sorted((r.event_id, r.batch_id) for r in live.late_rows(spark, f"{d}/late").collect())
+
+    land([(1, at(0), "a", 1.0), (2, at(5), "a", 2.0), (3, None, "a", 9.0), (4, at(0), None, None)])
+    assert late() == [(3, 0)]  # no event time: no window
+    assert tile() == {(0, "a"): (1, 1.0), (5, "a"): (1, 2.0), (0, None): (1, None)}
+    live.compact_tile(spark, f"{d}/out", keys, live.summed_tile)
+    # the mark is 05:10 less 2 h: the window 02:00 to 03:00 is over, 03:00 to 04:00 is open
+    land([(5, at(2), "a", 4.0), (6, at(3), "a", 8.0), (7, at(5), "a", 16.0), (8, at(9), "b", 32.0)])
+    want = {(0, "a"): (1, 1.0), (5, "a"): (2, 18.0), (0, None): (1, None), (3, "a"): (1, 8.0), (9, "b"): (1, 32.0)}
+    assert late() == [(3, 0), (5, 1)] and tile() == want
+    run()  # nothing new
+    assert late() == [(3, 0), (5, 1)] and tile() == want
+    live.compact_tile(spark, f"{d}/out", keys, live.summed_tile)
+    assert tile() == want
+    land([(9, at(5), "a", 64.0)])  # 05:00 to 06:00 is over now; a batch with late rows only
+    assert late() == [(3, 0), (5, 1), (9, 2)] and tile() == want
+    seen = sum(t for t, _ in tile().values()) + len(late())
+    assert seen == 9  # every row is counted or in the side table
+
+
+def test_counted_tile_replays_a_batch_with_the_same_result(spark):
+    import datetime as dt
+    d = _tmp()
+    schema = "event_id long, ts timestamp, event_type string, value double"
+    keys = ["window_start", "event_type"]
+
+    def land(i, hour):
+        spark.createDataFrame([(i, dt.datetime(2024, 1, 1, hour, 30), "a", 1.0)], schema).coalesce(1).write.mode(
+            "append").parquet(f"{d}/src")
+
+    def run(checkpoint):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{d}/src")
+        live.run_counted_tile(stream, f"{d}/out", f"{d}/late", checkpoint)
+
+    def state():
+        return (sorted((r.window_start.hour, r.trips) for r in live.summed_tile(spark, f"{d}/out", keys).collect()),
+                sorted(r.event_id for r in live.late_rows(spark, f"{d}/late").collect()))
+
+    for i, hour in enumerate((10, 2, 11)):
+        land(i, hour)
+        run(f"{d}/ckpt")
+    assert state() == ([(10, 1), (11, 1)], [1])
+    run(f"{d}/lost")  # the checkpoint is gone: all batches come again
+    assert state() == ([(10, 1), (11, 1)], [1])
