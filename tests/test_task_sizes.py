@@ -58,3 +58,13 @@ def test_lines_are_dealt_once_and_keep_every_match(spark, tmp_path, restored):
     got = sorted((r.booking_id, r.booked_by or "", r.pickup_zone or "", r.destination_zone or "") for r in trips.collect())
     assert got == [("1", "", "", "N2"), ("1-1", "C1", "N1", "N2"), ("1-1", "C1", "N1", "N2"), ("2-1", "", "", "N2"),
                    ("3-1", "", "", ""), ("4-1", "", "", "")]
+
+
+def test_landings_are_written_once(spark, tmp_path, restored, monkeypatch):
+    from ridemart.plans import extra
+    _tables(spark, tmp_path)
+    written, export = [], extra.files.export_csv
+    monkeypatch.setattr(extra.files, "export_csv", lambda df, path: (written.append(path), export(df, path))[1])
+    got = {r.step: r["rows"] for r in extra.two_landings(spark, str(tmp_path)).collect()}
+    assert got["run_1"] + got["run_2"] == got["table"] == 6 and got["run_3"] == 0
+    assert len(written) == 2 and all("/land/" in p for p in written)
