@@ -5,6 +5,7 @@ import re
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from ridemart import session
 from ridemart.sources import testdata
@@ -68,3 +69,20 @@ def test_landings_are_written_once(spark, tmp_path, restored, monkeypatch):
     got = {r.step: r["rows"] for r in extra.two_landings(spark, str(tmp_path)).collect()}
     assert got["run_1"] + got["run_2"] == got["table"] == 6 and got["run_3"] == 0
     assert len(written) == 2 and all("/land/" in p for p in written)
+
+
+def test_landed_bookings_are_compressed_and_all_read(spark, tmp_path, restored, monkeypatch):
+    from ridemart.plans import extra
+    from ridemart.plans.checks import ingest_metadata
+    _tables(spark, tmp_path)
+    spark.createDataFrame([Row(event_id=k, event_type="x", value=1.5) for k in (1, 2, 3)]).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(extra.files, "FILE_ROWS", 2)
+    landed = extra.files.landed_files(spark, extra.landing_bookings(spark, str(tmp_path)), "part-*")
+    assert landed and all(f.endswith(".csv.gz") for f in landed)
+    assert max(spark.read.text(f).count() for f in landed) <= 3  # two rows and the header
+    assert not [k for k in extra._STAGED if k[1:] == ("bronze_text", str(tmp_path))]  # the text is landed without a table between
+    counts = {"good_rows": 6, "malformed_rows": 3}
+    assert extra.EXTRA_QUERIES["DQ3_ingest_malformed_counts"](spark, str(tmp_path)).first().asDict() == counts
+    assert ingest_metadata(spark, str(tmp_path)).first().asDict() == {"with_time": 9, "with_file": 9, "without_file": 0}
+    held = extra.ingest.read_bronze(spark, extra.bronze_stream_table(spark, str(tmp_path)))
+    assert held.count() == 9
