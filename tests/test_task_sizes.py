@@ -86,3 +86,13 @@ def test_landed_bookings_are_compressed_and_all_read(spark, tmp_path, restored,
     assert ingest_metadata(spark, str(tmp_path)).first().asDict() == {"with_time": 9, "with_file": 9, "without_file": 0}
     held = extra.ingest.read_bronze(spark, extra.bronze_stream_table(spark, str(tmp_path)))
     assert held.count() == 9
+
+
+def test_weather_is_built_without_bookings(spark, tmp_path, restored, monkeypatch):
+    from ridemart.plans import catalog, warehouse
+    _tables(spark, tmp_path)
+    lines = spark.read.parquet(f"{tmp_path}/lineitem.parquet")
+    lines.withColumn("l_linenumber", F.col("l_linenumber").cast("int")).write.parquet(f"{tmp_path}/typed/lineitem.parquet")
+    monkeypatch.setattr(warehouse, "build_star", lambda *a: pytest.fail("no bookings are read"))
+    assert catalog.QUERIES["FLT3_silver_weather"](spark, f"{tmp_path}/typed").count() == 3
+    assert catalog.QUERIES["AGG1_weather_daily"](spark, f"{tmp_path}/typed").count() == 1
