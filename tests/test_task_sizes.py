@@ -96,3 +96,16 @@ def test_weather_is_built_without_bookings(spark, tmp_path, restored, monkeypatc
     monkeypatch.setattr(warehouse, "build_star", lambda *a: pytest.fail("no bookings are read"))
     assert catalog.QUERIES["FLT3_silver_weather"](spark, f"{tmp_path}/typed").count() == 3
     assert catalog.QUERIES["AGG1_weather_daily"](spark, f"{tmp_path}/typed").count() == 1
+
+
+def test_model_rows_are_computed_once_in_few_partitions(spark, tmp_path):
+    from ridemart.operators import features as FE
+    from ridemart.operators import model as M
+    columns = [F.col("id").cast("double").alias(c) for c in FE.NUMERIC_FEATURES] + [F.lit("a").alias(c) for c in FE.CATEGORICAL_FEATURES]
+    spark.range(60, numPartitions=9).select(*columns, F.col("id").cast("double").alias(FE.TARGET)).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    train, test, medians = M.prepare(rows, rows)
+    assert train.inputFiles() == [] and test.inputFiles() == []  # medians and models do not read the input again
+    assert medians["distance"] == 29.5
+    few = M._few_partitions(train.repartition(9))
+    assert few.rdd.getNumPartitions() == M.LEAST_PARTITIONS and few.count() == 60
