@@ -61,6 +61,43 @@ def test_lines_are_dealt_once_and_keep_every_match(spark, tmp_path, restored):
                    ("3-1", "", "", ""), ("4-1", "", "", "")]
 
 
+def test_latest_bookings_are_the_same_within_their_orders(spark, tmp_path, restored):
+    from ridemart.operators import silver
+    _tables(spark, tmp_path)
+    lines = spark.read.parquet(f"{tmp_path}/lineitem.parquet")
+    n = F.col("l_linenumber").cast("int")
+    odd = lines.where("l_orderkey = 3")  # ids "3" of a line without an order and of an order without a line number
+    more = lines.withColumn("l_linenumber", n).union(lines.withColumn("l_linenumber", n).withColumn("l_extendedprice", F.lit(8.0))).union(
+        odd.withColumn("l_orderkey", F.lit(None).cast("long")).withColumn("l_linenumber", F.lit(3))).union(
+        odd.withColumn("l_linenumber", F.lit(None).cast("int")).withColumn("l_extendedprice", F.lit(7.0)))
+    more.write.parquet(f"{tmp_path}/more/lineitem.parquet")
+    for name in ("nation", "customer", "supplier", "orders"):
+        spark.read.parquet(f"{tmp_path}/{name}.parquet").write.parquet(f"{tmp_path}/more/{name}.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    within = (testdata.ORDER_OR_LINE,)
+    latest = silver.silver_from_typed(testdata.trips_typed(spark, f"{tmp_path}/more", within), "1999-01-01", within)
+    plain = silver.silver_from_typed(testdata.trips_typed(spark, f"{tmp_path}/more"), "1999-01-01")
+    rows = sorted(latest.collect(), key=str)
+    assert rows == sorted(plain.collect(), key=str)
+    assert [r.booking_id for r in sorted(rows, key=lambda r: r.booking_id)] == ["1", "1-1", "2-1", "3", "3-1", "4-1"]
+
+
+def test_orders_star_shuffles_lines_once(spark, tmp_path, restored, monkeypatch):
+    from ridemart.operators import silver
+    _tables(spark, tmp_path)
+    within = (testdata.ORDER_OR_LINE,)
+    # orders too large to be sent to all tasks, suppliers and nations not
+    sizes = {name: spark.read.parquet(f"{tmp_path}/{name}.parquet") for name in ("nation", "supplier")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    held = testdata.table
+    monkeypatch.setattr(testdata, "_nation_names", lambda s, d, p: F.broadcast(sizes["nation"].toDF(f"{p}_nationkey", f"{p}_zone")))
+    monkeypatch.setattr(testdata, "table", lambda s, d, name: F.broadcast(sizes[name]) if name in sizes else held(s, d, name))
+    latest = silver.silver_from_typed(testdata.trips_typed(spark, str(tmp_path), within), "1999-01-01", within)
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(l_orderkey_or_line" in plan and "hashpartitioning(booking_id" not in plan
+    assert "WindowGroupLimit" in plan
+
+
 def test_landings_are_written_once(spark, tmp_path, restored, monkeypatch):
     from ridemart.plans import extra
     _tables(spark, tmp_path)
