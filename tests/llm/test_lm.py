@@ -157,3 +157,34 @@ def test_orders_by_several_keys_are_stable():
         a, b = (r.integers(0, below, 500) // (below // 9) for _ in range(2))
         want = sorted(range(500), key=lambda i: (a[i], b[i]))
         assert lm._sorted_order(a, b, below=below).tolist() == want
+
+
+@pytest.mark.parametrize("visits", [1, 3])
+def test_a_large_corpus_takes_the_same_steps_as_a_small_one(spark, monkeypatch, visits):
+    r, voc = np.random.default_rng(5), vocabulary()
+    codes = r.zipf(1.3, 9000).astype(np.int64) % voc.start
+    sizes, held = [1500] * 6, [False, False, True, False, False, False]
+    monkeypatch.setattr(lm, "LEAST_VISITS", visits * 7500)  # no more visits than a large corpus has
+    rows = [(7, held, sizes, bytearray(codes.astype(voc.dtype).tobytes()))]
+    coded = spark.createDataFrame(rows, "block long, held array<boolean>, sizes array<int>, codes binary").coalesce(1)
+    got = lm.train_model(coded, voc, 7500)
+    want, taught = lm.LogBilinear(voc), np.flatnonzero(~np.repeat(held, sizes))
+    context = lm._contexts(codes, lm._places(np.array(sizes)), voc.start)
+    for step in range(lm.ROUNDS):
+        want = want.copy()
+        want.train(context, codes, np.random.default_rng([step, 0]), batch=1024, k=64, m=8,
+                   rate=0.05 * (1 - step / lm.ROUNDS) + 0.005, places=lm.round_places(7, taught, visits, step))
+    for x in want.p:
+        assert np.abs(got.p[x] - want.p[x]).max() < 5e-3
+
+
+def test_a_step_sums_the_gradients_of_repeated_rows():
+    r = np.random.default_rng(6)
+    rows, grad, scale = r.integers(0, 30, 90), r.normal(size=(30, 25)).astype(np.float32), r.normal(size=90).astype(np.float32)
+    for given, factor, plain in ((grad, scale, scale[:, None] * np.repeat(grad, 3, 0)), (np.repeat(grad, 3, 0), None, np.repeat(grad, 3, 0))):
+        p, memory, touched = np.ones((40, 25), np.float32), np.full((40, 25), 1e-6, np.float32), np.zeros(40, np.float32)
+        lm._push(p, memory, touched, rows, given, 0.1, factor)
+        total = np.zeros((40, 25))
+        np.add.at(total, rows, plain)
+        assert p == pytest.approx(1 - 0.1 * total / np.sqrt(1e-6 + total ** 2), abs=1e-4)
+        assert touched.tolist() == np.bincount(rows, minlength=40).tolist()
