@@ -181,3 +181,17 @@ def test_dense_key_runs_few_jobs_and_ignores_splits(spark):
     assert [r.n for r in sorted(keyed, key=lambda r: r.k)] == list(range(3000))
     assert plan.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert jobs <= 8
+
+
+def test_fact_rows_are_numbered_in_compact_form(spark, monkeypatch):
+    silver = S.parse_bronze(bronze_df(spark, [booking_row(**{"Booking ID": f"B{i}", "Driver": None if i % 2 else "", "Vehicle": f"v\x00{i}"})
+                                              for i in range(4)]))
+    dealt, number = [], star.dense_key
+    monkeypatch.setattr(star, "dense_key", lambda df, *a: dealt.append(dict(df.dtypes)) or number(df, *a))
+    zones = spark.createDataFrame([(0, "Air37"), (1, "Ald44")], "zone_key int, zone_code string")
+    days = spark.createDataFrame([(20250816, "2025-08-16")], "date_key int, day string").select("date_key", F.to_date("day").alias("full_date"))
+    got = star.fact_trip(silver, days, zones).collect()
+    assert [c for c, kind in dealt[0].items() if kind == "string"] == ["booking_id", "_texts_0"]
+    plain = star.fact_trip(silver, days, zones, with_trip_key=False).collect()
+    assert sorted(({k: v for k, v in r.asDict().items() if k != "trip_key"} for r in got), key=str) == sorted((r.asDict() for r in plain), key=str)
+    assert [r.trip_key for r in sorted(got, key=lambda r: r.booking_id)] == [0, 1, 2, 3]
