@@ -188,3 +188,21 @@ def test_a_step_sums_the_gradients_of_repeated_rows():
         np.add.at(total, rows, plain)
         assert p == pytest.approx(1 - 0.1 * total / np.sqrt(1e-6 + total ** 2), abs=1e-4)
         assert touched.tolist() == np.bincount(rows, minlength=40).tolist()
+
+
+def test_texts_are_cut_into_words():
+    texts = ["", " ", "A b\tc\nd\x0be\x0cf\rg", "  \x1c\x85 \u00a0\u2003É a  a ", "end", "a" * 300, "\x00 B"]
+    found, sizes, body = lm._local_codes([t.encode() for t in texts] + [b"\xff\xfeA \xc3"])
+    words = [found.to_pylist()[i] for i in body]
+    want = [[w.encode() for w in tokens(t)] for t in texts] + [[b"\xff\xfea", b"\xc3", lm.END]]
+    assert words == [w for t in want for w in t] and sizes.tolist() == [len(t) for t in want]
+    assert len(set(found.to_pylist())) == len(found)
+
+
+@pytest.mark.parametrize("counts", [[5], [10 ** 9, 3, 2, 1, 1, 1], list(range(500, 0, -1)), [7] * 50 + [1] * 3000])
+def test_words_are_drawn_by_their_counts(counts):
+    voc = lm.Vocabulary(np.array(counts), np.ones(lm.REST))
+    r, total = np.random.default_rng(1), sum(counts)
+    x = np.concatenate((voc.cum[:-1], np.nextafter(voc.cum[1:], 0), r.random(4000) * total)).reshape(-1, 2)
+    assert (voc.word_at(x) == np.searchsorted(voc.cum, x, side="right") - 1).all()
+    assert voc.word_at(np.array([float(total)])) == [len(counts) - 1]
